@@ -65,7 +65,7 @@ def jsonld_breadcrumb(objects: Column) -> Column:
             F.coalesce(_get(i, "$.position", "double"), F.lit(99.0)).alias("position"),
             at.alias("at"),
             _get(i, "$.name", "string").alias("name")))
-    named = F.filter(F.array_sort(items), lambda r: r["name"].isNotNull() & (r["name"] != ""))
+    named = F.filter(F.sort_array(items), lambda r: r["name"].isNotNull() & (r["name"] != ""))
     return F.coalesce(
         F.transform(named, lambda r: clean_text(r["name"], strip_tags=True)),
         F.array().cast("array<string>"))

@@ -24,9 +24,9 @@ def distinct_fold(values: Column) -> Column:
     """
     keyed = F.transform(values, lambda v, i: F.struct(F.lower(v).alias("k"), i.alias("i"), v.alias("v")))
     heads = let(
-        F.array_sort(keyed),
+        F.sort_array(keyed),
         lambda s: F.filter(s, lambda e, i: (i == 0) | (F.get(s, i - 1)["k"] != e["k"])))
-    in_order = F.array_sort(F.transform(heads, lambda e: F.struct(e["i"].alias("i"), e["v"].alias("v"))))
+    in_order = F.sort_array(F.transform(heads, lambda e: F.struct(e["i"].alias("i"), e["v"].alias("v"))))
     return F.transform(in_order, lambda e: e["v"])
 
 
@@ -43,7 +43,7 @@ def clean_list(values) -> Column:
 def sorted_set(values) -> Column:
     """Distinct values, ascending, `|`-joined; nothing is null."""
     kept = F.filter(_col(values), lambda x: x.isNotNull())
-    return blank_to_null(F.array_join(F.array_sort(F.array_distinct(kept)), "|"))
+    return blank_to_null(F.array_join(F.sort_array(F.array_distinct(kept)), "|"))
 
 
 def ordered_list(values, sep: str = "|") -> Column:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F, types as T
 
-from silverline.functions.text import _col, blank_to_null, clean_text, let, strip
+from silverline.functions.text import _col, blank_to_null, clean_text, let
 
 # Ship the parser inside the plan, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -202,9 +202,13 @@ def first_of(nodes: Column, *paths) -> Column:
     return F.coalesce(*[select_one(nodes, *p) for p in paths])
 
 
+def _subtree(nodes: Column, n: Column) -> Column:
+    return F.slice(nodes, n["at"] + 1, n["last"] - n["at"])
+
+
 def inside(nodes: Column, n: Column) -> Column:
     """Subtree of `n` without itself. `nodes` must be the whole page."""
-    return F.slice(nodes, n["at"] + 1, n["last"] - n["at"])
+    return let(n, lambda e: _subtree(nodes, e))
 
 
 def _pieces(subtree: Column) -> Column:
@@ -217,20 +221,22 @@ def raw_text(subtree: Column) -> Column:
 
 
 def joined_text(subtree: Column) -> Column:
-    """Stripped pieces joined by one space, cleaned: `Oil<b>y</b>` is `Oil y`."""
-    return clean_text(F.array_join(
-        F.filter(F.transform(_pieces(subtree), strip), lambda t: t != ""), " "))
+    """Stripped pieces joined by one space, cleaned: `Oil<b>y</b>` is `Oil y`.
+
+    Cleaning collapses runs of whitespace, so joining the unstripped pieces is enough.
+    """
+    return clean_text(F.array_join(_pieces(subtree), " "))
 
 
 def text_of(nodes: Column, n: Column, raw: bool = False) -> Column:
     """Text of an element; null when there is no element."""
     body = inside(nodes, n)
-    return F.when(n.isNotNull(), raw_text(body) if raw else joined_text(body))
+    return raw_text(body) if raw else joined_text(body)
 
 
 def first_text(nodes: Column, *paths, raw: bool = False) -> Column:
     """Fallback chain for one field."""
-    return let(first_of(nodes, *paths), lambda n: text_of(nodes, n, raw))
+    return text_of(nodes, first_of(nodes, *paths), raw)
 
 
 def attr(n: Column, name: str) -> Column:

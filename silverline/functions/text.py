@@ -57,11 +57,10 @@ def _numeric_references(text: Column, pattern: str, prefix: str, base: int) -> C
 
 
 def _unescape(text: Column) -> Column:
-    out = let(_numeric_references(text, "&#([0-9]{1,7});", "&#", 10),
-              lambda t: _numeric_references(t, "&#x([0-9a-fA-F]{1,6});", "&#x", 16))
-    for name, char in ENTITIES.items():
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return F.replace(out, F.lit("&amp;"), F.lit("&"))
+    decimal = _numeric_references(text, "&#([0-9]{1,7});", "&#", 10)
+    both = let(decimal, lambda t: _numeric_references(t, "&#x([0-9a-fA-F]{1,6});", "&#x", 16))
+    named = F.array(*[F.array(F.lit(k), F.lit(v)) for k, v in [*ENTITIES.items(), ("&amp;", "&")]])
+    return F.aggregate(named, both, lambda acc, e: F.replace(acc, e[0], e[1]))
 
 
 def unescape_entities(c) -> Column:
@@ -76,8 +75,7 @@ def clean_text(c, strip_tags: bool = False) -> Column:
     """
     c = _col(c)
     if strip_tags:
-        bare = F.regexp_replace(c, r"(?s)<!--.*?-->|<[^>]*>", " ")
-        c = unescape_entities(F.when(c.contains("<"), bare).otherwise(c))
+        c = unescape_entities(F.regexp_replace(c, r"(?s)<!--.*?-->|<[^>]*>", " "))
     return blank_to_null(F.trim(F.regexp_replace(c, r"(?U)\s+", " ")))
 
 
@@ -178,21 +176,24 @@ def after_colon(c) -> Column:
     return clean_text(F.regexp_replace(_col(c), "^[^:]*:", ""))
 
 
-def ingredient_name(c) -> Column:
+def ingredient_name(c, strip_tags: bool = False) -> Column:
     """struct(name, concentration); both null when the text is no ingredient name."""
-    text = F.btrim(clean_text(c, strip_tags=True), F.lit(fixed.NAME_EDGE_CHARS))
+    text = F.btrim(clean_text(c, strip_tags), F.lit(fixed.NAME_EDGE_CHARS))
     return let(text, _name_and_concentration)
 
 
 def _name_and_concentration(text: Column) -> Column:
-    amount = F.regexp_substr(text, F.lit(fixed.CONCENTRATION_PATTERN))
-    bare = F.btrim(F.replace(text, amount, F.lit("")), F.lit(fixed.NAME_EDGE_CHARS))
-    name = clean_text(F.when(amount.isNull(), text).otherwise(bare))
-    usable = (F.length(name) <= fixed.MAX_NAME_LENGTH) & ~contains_any(
-        F.lower(name), fixed.BAD_NAME_WORDS)
-    return F.struct(
-        F.when(usable, name).alias("name"),
-        F.when(usable, F.replace(amount, F.lit(" "), F.lit(""))).alias("concentration"))
+    found = F.regexp_extract(text, f"({fixed.CONCENTRATION_PATTERN})", 1)  # '' when there is none
+    return let(F.struct(text.alias("text"), found.alias("amount")), _without_amount)
+
+
+def _without_amount(e: Column) -> Column:
+    bare = F.btrim(F.replace(e["text"], e["amount"], F.lit("")), F.lit(fixed.NAME_EDGE_CHARS))
+    amount = blank_to_null(F.replace(e["amount"], F.lit(" "), F.lit("")))
+    return let(F.struct(clean_text(bare).alias("name"), amount.alias("concentration")), lambda r: F.when(
+        (F.length(r["name"]) <= fixed.MAX_NAME_LENGTH)
+        & ~F.lower(r["name"]).rlike("|".join(fixed.BAD_NAME_WORDS)), r).otherwise(
+        F.struct(F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("concentration"))))
 
 
 def normalize_name(c) -> Column:

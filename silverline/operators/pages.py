@@ -21,7 +21,7 @@ def _children(nodes: Column, outer: Column, body) -> Column:
 
 def _field(sub: Column, nodes: Column, *path, raw: bool = False) -> Column:
     """Text of the first match inside a subtree; its own subtree is cut from the page."""
-    return let(select_one(sub, *path), lambda n: text_of(nodes, n, raw))
+    return text_of(nodes, select_one(sub, *path), raw)
 
 
 def _low(c: Column) -> Column:
@@ -60,11 +60,10 @@ def listing_cards(nodes: Column, base: str) -> Column:
     """Product cards of a listing page; cards without a title link are skipped."""
     title = (cls("product-card__title"), both(tag("a"), cls("reversed-link")))
 
-    def card(sub, n):
-        link, img = select_one(sub, *title), select_one(sub, cls("product-card__image"), tag("img"))
-        url = t.absolute_url(attr(link, "href"), base, resolve=True)
+    def described(sub, link, url):
+        img = select_one(sub, cls("product-card__image"), tag("img"))
         price = (cls("f-price__regular"), cls("f-price-item--regular"))
-        return F.when(link.isNotNull(), F.struct(
+        return let(img, lambda i: F.struct(
             t.md5_id(url, fold=False).alias("product_id"),
             url.alias("product_url"),
             text_of(nodes, link).alias("product_name"),
@@ -72,8 +71,13 @@ def listing_cards(nodes: Column, base: str) -> Column:
             t.blank_to_null(t.strip_label(
                 _field(sub, nodes, cls("product-card__type")), "Type:")).alias("category"),
             _field(sub, nodes, *price).alias("price"),
-            t.absolute_url(attr(img, "src"), base, resolve=True).alias("image_url"),
-            t.clean_text(attr(img, "alt")).alias("image_alt")))
+            t.absolute_url(attr(i, "src"), base, resolve=True).alias("image_url"),
+            t.clean_text(attr(i, "alt")).alias("image_alt")))
+
+    def card(sub, n):
+        return let(select_one(sub, *title), lambda link: F.when(link.isNotNull(), let(
+            t.absolute_url(attr(link, "href"), base, resolve=True),
+            lambda url: described(sub, link, url))))
 
     cards = select(nodes, both(tag("div"), cls("f-column"), cls("card")))
     return F.filter(_children(nodes, cards, card), lambda c: c.isNotNull())
@@ -85,12 +89,15 @@ def dictionary_rows(nodes: Column, base: str, prefix: str) -> Column:
         body = inside(nodes, row)
         title = F.coalesce(_field(body, nodes, tag("h3")), text_of(nodes, link))
         url = t.drop_fragment(t.absolute_url(attr(link, "href"), base, resolve=True))
+        return let(F.struct(title.alias("title"), url.alias("url")), lambda e: named(e, body))
+
+    def named(e: Column, body: Column) -> Column:
         return F.struct(
-            t.record_id(url, prefix).alias("record_id"),
-            F.when(F.lower(title) != "read more", title).alias("ingredient_name_from_list"),
+            t.record_id(e["url"], prefix).alias("record_id"),
+            F.when(F.lower(e["title"]) != "read more", e["title"]).alias("ingredient_name_from_list"),
             _field(body, nodes, cls_like(fixed.LIST_RATING_CLASS)).alias("rating_from_list"),
             _field(body, nodes, cls_like(fixed.LIST_DESCRIPTION_CLASS)).alias("short_description"),
-            url.alias("ingredient_url"))
+            e["url"].alias("ingredient_url"))
 
     def nearest(rows: Column, link: Column) -> Column:
         return F.try_element_at(
@@ -104,13 +111,14 @@ def dictionary_rows(nodes: Column, base: str, prefix: str) -> Column:
 # ---- Product page sections ----
 
 def _pairs(nodes: Column, items: Column, need_both: bool, joined_value: bool) -> Column:
+    def texts(e):
+        value = text_of(nodes, e["val"]) if joined_value else _low(text_of(nodes, e["val"], raw=True))
+        out = F.struct(_low(text_of(nodes, e["lbl"], raw=True)).alias("label"), value.alias("value"))
+        return F.when(e["lbl"].isNotNull() & e["val"].isNotNull(), out) if need_both else out
+
     def pair(sub, n):
-        label, value = select_one(sub, cls("lbl")), select_one(sub, cls("val"))
-        out = F.struct(
-            _low(text_of(nodes, label, raw=True)).alias("label"),
-            (text_of(nodes, value) if joined_value
-             else _low(text_of(nodes, value, raw=True))).alias("value"))
-        return F.when(label.isNotNull() & value.isNotNull(), out) if need_both else out
+        return let(F.struct(select_one(sub, cls("lbl")).alias("lbl"),
+                            select_one(sub, cls("val")).alias("val")), texts)
 
     return F.filter(_children(nodes, items, pair), lambda p: p.isNotNull())
 
@@ -178,14 +186,18 @@ def _first_key(text: Column, names: dict[str, str]) -> Column:
 
 def skin_scores(nodes: Column) -> Column:
     """Six score columns, good and bad lists, and notes, from the rated skin cards."""
-    def rated(sub, n):
-        kind, rate = select_one(sub, cls("type")), select_one(sub, cls("rate"))
-        pieces = F.transform(F.filter(inside(nodes, kind), lambda x: x["tag"] == TEXT),
+    def labelled(e):
+        pieces = F.transform(F.filter(inside(nodes, e["kind"]), lambda x: x["tag"] == TEXT),
                              lambda x: t.strip(x["text"]))
         return F.struct(
-            F.when(kind.isNotNull(), F.array_join(pieces, "")).alias("label"),
-            _first_key(_low(text_of(nodes, kind, raw=True)), fixed.SKIN_TYPE_COLUMNS).alias("column"),
-            t.score_label(text_of(nodes, rate, raw=True)).alias("score"))
+            F.array_join(pieces, "").alias("label"),
+            _first_key(e["word"], fixed.SKIN_TYPE_COLUMNS).alias("column"),
+            t.score_label(e["rate"]).alias("score"))
+
+    def rated(sub, n):
+        return let(select_one(sub, cls("type")), lambda kind: let(F.struct(
+            kind.alias("kind"), _low(text_of(nodes, kind, raw=True)).alias("word"),
+            _field(sub, nodes, cls("rate"), raw=True).alias("rate")), labelled))
 
     def fields(rows):
         def joined(test, text):
@@ -213,19 +225,23 @@ def _column_is(name: str):
 
 def safety(nodes: Column) -> Column:
     """Flags by exact class, first n-of-5, irritation (a denial wins), and short notes."""
-    def item(sub, n):
-        strong, p = select_one(sub, tag("strong")), select_one(sub, tag("p"))
-        label, detail = _low(text_of(nodes, strong, raw=True)), _low(text_of(nodes, p, raw=True))
-        flag = F.when(cls("safe")(n), 1).when(cls("caution")(n), 0)
-        note = F.concat(F.coalesce(t.clean_text(text_of(nodes, strong, raw=True)), F.lit("")), F.lit(": "),
-                        F.coalesce(t.clean_text(text_of(nodes, p, raw=True)), F.lit("")))
+    def facts(e, flag):
+        low, detail = _low(e["label"]), _low(e["detail"])
+        note = F.concat(F.coalesce(t.clean_text(e["label"]), F.lit("")), F.lit(": "),
+                        F.coalesce(t.clean_text(e["detail"]), F.lit("")))
         return F.struct(
-            F.when(t.contains_any(label, ["pregnancy", "breastfeeding"]), flag).alias("pregnancy"),
-            F.when(label.contains("fungal"), flag).alias("fungal"),
-            t.ratio_of_5(F.concat_ws(" ", label, detail)).alias("ratio"),
+            F.when(t.contains_any(low, ["pregnancy", "breastfeeding"]), flag).alias("pregnancy"),
+            F.when(low.contains("fungal"), flag).alias("fungal"),
+            t.ratio_of_5(F.concat_ws(" ", low, detail)).alias("ratio"),
             F.when(t.contains_any(detail, ["non-irritating", "non irritating"]), 0)
             .when(detail.contains("irritating"), 1).alias("irritating"),
-            F.when(strong.isNotNull() & p.isNotNull(), t.truncate(note, 300)).alias("note"))
+            F.when(e["label"].isNotNull() & e["detail"].isNotNull(), t.truncate(note, 300)).alias("note"))
+
+    def item(sub, n):
+        flag = F.when(cls("safe")(n), 1).when(cls("caution")(n), 0)
+        return let(F.struct(_field(sub, nodes, tag("strong"), raw=True).alias("label"),
+                            _field(sub, nodes, tag("p"), raw=True).alias("detail")),
+                   lambda e: facts(e, flag))
 
     def first_value(rows, field):
         return F.get(F.filter(rows, lambda r: r[field].isNotNull()), F.lit(0))[field].alias
@@ -350,14 +366,15 @@ def product_meta(nodes: Column, product: Column, crumbs: Column, base: str,
         return F.coalesce(*[t.blank_to_null(v) for v in values], last).alias(name)
 
     def meta(prop):
-        found = select_one(nodes, attr_is("itemprop", prop))
-        return F.coalesce(t.clean_text(t.blank_to_null(attr(found, "content"))), text_of(nodes, found))
+        return let(select_one(nodes, attr_is("itemprop", prop)), lambda found: F.coalesce(
+            t.clean_text(t.blank_to_null(attr(found, "content"))), text_of(nodes, found)))
 
     name = t.clean_text(F.try_variant_get(product, "$.name", "string"), strip_tags=True)
     second = F.get(crumbs, F.lit(1))
     image = first_of(nodes, (cls("product__media"), tag("img")), (cls("product__media-item"), tag("img")))
-    source = F.coalesce(t.blank_to_null(attr(image, "src")),
-                        F.get(F.split(t.strip(attr(image, "data-src")), r"\s+"), F.lit(0)))
+    source = let(image, lambda i: F.coalesce(
+        t.blank_to_null(attr(i, "src")),
+        F.get(F.split(t.strip(attr(i, "data-src")), r"\s+"), F.lit(0))))
     prices = [t.parse_price(first_text(nodes, cls(c)))
               for c in ("f-price-item--regular", "price-item--regular", "product__price")]
     overview = first_text(nodes, (attr_is("id", "pp-overview"), cls("pp-subtitle")))
@@ -457,7 +474,8 @@ def main_content(nodes: Column) -> Column:
     return let(first_of(nodes, *preds), lambda n: F.when(n.isNotNull(), inside(nodes, n)).otherwise(nodes))
 
 
-def _starting_with(nodes: Column, scope: Column, tags: list[str], prefix: str) -> Column:
+def _starting_with(nodes: Column, scope: Column, tags: list[str], prefix: str,
+                   longest: int | None = None) -> Column:
     """Elements whose text starts with a prefix (any case), in document order.
 
     Only elements around a text node with that start are looked at, so the text of every
@@ -468,13 +486,16 @@ def _starting_with(nodes: Column, scope: Column, tags: list[str], prefix: str) -
         F.lower(t.clean_text(n["text"])).startswith(low), F.lit(False)))
     around = let(starts, lambda s: F.filter(scope, lambda n: tag(*tags)(n) & F.exists(
         s, lambda x: (x["at"] > n["at"]) & (x["at"] <= n["last"]))))
-    return F.filter(around, lambda n: F.lower(text_of(nodes, n)).startswith(low))
+    def fits(text):
+        ok = F.lower(text).startswith(low)
+        return ok if longest is None else ok & (F.length(text) <= longest)
+
+    return F.filter(around, lambda n: let(text_of(nodes, n), fits))
 
 
 def label_row_values(nodes: Column, scope: Column, label: str, longest: int = 300) -> Column:
     """Link texts of the first short row that starts with `label:`, else its comma parts."""
-    rows = F.filter(_starting_with(nodes, scope, ["div"], label + ":"),
-                    lambda n: F.length(text_of(nodes, n)) <= longest)
+    rows = _starting_with(nodes, scope, ["div"], label + ":", longest)
 
     def values(row):
         links = ls.clean_list(F.transform(select(inside(nodes, row), tag("a")), lambda a: text_of(nodes, a)))
@@ -487,10 +508,8 @@ def label_row_values(nodes: Column, scope: Column, label: str, longest: int = 30
 def labelled_value(nodes: Column, scope: Column, label: str, tags: list[str],
                    longest: int | None = None) -> Column:
     """Value after the colon of the first element that starts with the label."""
-    texts = F.transform(_starting_with(nodes, scope, tags, label), lambda n: text_of(nodes, n))
-    if longest is not None:
-        texts = F.filter(texts, lambda x: F.length(x) <= longest)
-    return t.after_colon(F.get(texts, F.lit(0)))
+    first = F.get(_starting_with(nodes, scope, tags, label, longest), F.lit(0))
+    return t.after_colon(text_of(nodes, first))
 
 
 def _heading(nodes: Column, scope: Column, words: str) -> Column:
@@ -524,8 +543,8 @@ def heading_paragraphs(nodes: Column, scope: Column, words: str, container: str)
 
 def related_items(nodes: Column, scope: Column) -> Column:
     """Link texts of the short blocks that start with `See:`."""
-    blocks = F.filter(_starting_with(nodes, scope, ["div", "section"], "See:"), lambda n: (
-        text_of(nodes, n).startswith("See:") & (F.length(text_of(nodes, n)) < 200)))
+    blocks = F.filter(_starting_with(nodes, scope, ["div", "section"], "See:", 199),
+                      lambda n: text_of(nodes, n).startswith("See:"))
     links = F.flatten(F.transform(blocks, lambda b: F.transform(
         select(inside(nodes, b), tag("a")), lambda a: text_of(nodes, a))))
     return ls.clean_list(links)

@@ -37,8 +37,8 @@ def merge_ingredients(*sources: Column) -> Column:
         return let(starts, lambda s: F.transform(s, lambda start, j: let(
             F.slice(rows, start + 1, F.coalesce(F.get(s, j + 1), F.size(rows)) - start), _merge_run)))
 
-    runs = let(F.array_sort(tagged), lambda rows: F.when(F.size(rows) > 0, merged(rows)))
-    numbered = F.transform(F.array_sort(runs), lambda r, i: r["row"].withField(
+    runs = let(F.sort_array(tagged), lambda rows: F.when(F.size(rows) > 0, merged(rows)))
+    numbered = F.transform(F.sort_array(runs), lambda r, i: r["row"].withField(
         "position", F.coalesce(F.nullif(r["row"]["position"], F.lit(0)), i + 1)))
     return F.coalesce(numbered, F.array().cast(pg.INGREDIENT_TYPE))
 

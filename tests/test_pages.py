@@ -132,7 +132,7 @@ def test_source_products(spark):
 
 
 DETAIL_PAGE = """<body><nav><div>Benefits: no</div></nav><main><h1>Niacinamide</h1>
-<div><div>Rating: <span>best</span></div><div><b>Benefits:</b> <a>Soothing</a><a>Oil Control</a></div>
+<div>x<div>Rating: <span>best</span></div><div><b>Benefits:</b> <a>Soothing</a><a>Oil Control</a></div>
 <div>Categories: Vitamins, Antioxidant, vitamins</div></div>
 <h2>Niacinamide at a glance</h2><div><ul><li>AKA vitamin B3 and nicotinamide</li><li>Calms</li></ul></div>
 <h3>Description of it</h3><div class="x IngredientPagestyles__Description-y"><p>Also known as Vitamin B3, a vitamin.</p>
