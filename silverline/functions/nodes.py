@@ -13,9 +13,9 @@ from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from silverline.functions.text import _col, blank_to_null, clean_text, let
+from silverline.functions.text import blank_to_null, clean_text, let
 
 # Ship the parser inside the plan, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -249,6 +249,17 @@ def other_classes(n: Column, own: str) -> Column:
         F.filter(F.split(F.trim(n["cls"]), " "), lambda c: (c != own) & (c != "")), "|"))
 
 
-def with_nodes(df, html="html", into="nodes"):
+def spread(df: DataFrame, bytes_per_core: int = 8 << 20) -> DataFrame:
+    """Give every core a share of a small input.
+
+    Parsing costs far more than moving the bytes, and a small input may come as one split.
+    An input with enough bytes per core by the planner's estimate keeps its own splits.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * bytes_per_core else df
+
+
+def with_nodes(df: DataFrame, html: str = "html", into: str = "nodes") -> DataFrame:
     """Add the node list of every page."""
-    return df.withColumn(into, html_nodes(_col(html)))
+    return spread(df).withColumn(into, html_nodes(F.col(html)))

@@ -9,7 +9,7 @@ from silverline.operators import quality as q
 from silverline.operators.aggregates import row_audit
 from silverline.plans import bronze_to_silver as b2s
 from silverline.plans.dictionary import build_ingredient_dictionary
-from silverline.plans.entities import build_entities
+from silverline.plans.entities import build_entities, entity_tables
 from silverline.plans.features import recommendation_features
 from silverline.plans.source_products import build_source_products
 from silverline.queries.files import FETCH_SQL, fetch_log
@@ -122,8 +122,17 @@ def _product_pages(d):
                          F.when(k % 8 != 0, body).alias("html"))
 
 
+_records: dict[tuple[str, str], str] = {}
+
+
 def _entities(d):
-    return build_entities(d.spark, _product_pages(d), BASE, "shop", min_body=1)
+    """The five tables; the pages of one folder are extracted once per application."""
+    key = (d.spark.sparkContext.applicationId, d.folder)
+    if key not in _records:
+        path = fresh_path(d.spark, "page-records")
+        build_entities(d.spark, _product_pages(d), BASE, "shop", path, min_body=1)
+        _records[key] = path
+    return entity_tables(d.spark.read.parquet(_records[key]))
 
 
 _VALID = "FROM part WHERE p_partkey % 8 <> 0 AND p_partkey % 10 <> 0 AND p_partkey % 9 <> 0"

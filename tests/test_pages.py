@@ -100,7 +100,7 @@ def test_entities_and_rejects(spark):
 def test_only_one_python_node(spark):
     df = page_records(_pages(spark), BASE, "shop")
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("ArrowEvalPython") == 1 and "Exchange" not in plan
+    assert plan.count("ArrowEvalPython") == 1 and "Exchange hashpartitioning" not in plan
 
 
 def test_text_modes_and_unclosed_tags(spark):
