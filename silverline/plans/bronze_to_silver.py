@@ -55,22 +55,29 @@ def silver_tables(products: DataFrame, ingredients: DataFrame, bridge: DataFrame
             "product_ingredients": clean_bridge(bridge, products, ingredients)}
 
 
-def bronze_to_silver(spark: SparkSession, bronze: str, silver: str) -> dict[str, int]:
-    """Run the job on CSV folders or files; returns rows written per table.
+def bronze_to_silver(spark: SparkSession, bronze: str, silver: str,
+                     multi_line: bool = True) -> dict[str, int]:
+    """Run the job on CSV folders; returns rows written per table.
+
+    Cells may hold line breaks, so by default a file is never split: keep files moderate, or
+    pass `multi_line=False` when every row is known to be one line.
 
     Each input is scanned once. The bridge is checked against the key columns of the silver
     tables just written, so the dimensions are neither parsed nor cleaned a second time.
     """
     watches = {}
 
+    def read(table: str) -> DataFrame:
+        return read_csv_strings(spark, f"{bronze}/{table}.csv", multi_line=multi_line)
+
     def write(df: DataFrame, name: str) -> None:
         counted, watches[name] = observed(df, name)
         write_parquet(counted, f"{silver}/{name}")
 
-    write(clean_products(read_csv_strings(spark, f"{bronze}/ProductTable.csv")), "products")
-    write(clean_ingredients(read_csv_strings(spark, f"{bronze}/IngredientsTable.csv")), "ingredients")
+    write(clean_products(read("ProductTable")), "products")
+    write(clean_ingredients(read("IngredientsTable")), "ingredients")
     keys = [(spark.read.parquet(f"{silver}/{t}").select(k), k)
             for t, k in (("products", "product_id"), ("ingredients", "ingredient_id"))]
-    bridge = clean_bridge_rows(read_csv_strings(spark, f"{bronze}/BridgeTable.csv"))
+    bridge = clean_bridge_rows(read("BridgeTable"))
     write(fk_filter(bridge, keys), "product_ingredients")
     return {name: watch.get["n_rows"] for name, watch in watches.items()}

@@ -1,6 +1,6 @@
 """Every operator as a query over the given tables."""
 
-from silverline.queries.registry import ORACLES, QUERIES
+from silverline.queries.registry import ORACLES, QUERIES, names_of
 from silverline.queries import cleaning, files, jobs, markup, scalars  # noqa: F401
 
-__all__ = ["ORACLES", "QUERIES"]
+__all__ = ["ORACLES", "QUERIES", "names_of"]

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+MODULES: dict[str, str] = {}
 
 
 class Tables:
@@ -27,7 +28,14 @@ def query(name: str, sql: str | None = None):
         if name in QUERIES:
             raise ValueError(f"Duplicate query {name}")
         QUERIES[name] = lambda spark, folder: fn(Tables(spark, folder))
+        MODULES[name] = fn.__module__
         if sql:
             ORACLES[name] = sql.strip()
         return fn
     return register
+
+
+def names_of(*modules) -> list[str]:
+    """Queries defined in the given modules."""
+    wanted = {m.__name__ for m in modules}
+    return [n for n, m in MODULES.items() if m in wanted]

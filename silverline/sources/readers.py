@@ -53,11 +53,15 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 def read_raw_zone(spark: SparkSession, base: str, schema, source: str, entity: str,
                   batch: str = "latest") -> DataFrame:
-    """One batch of the raw zone; only that batch's files are listed as input."""
+    """One batch of the raw zone.
+
+    Only the source's and entity's folders are listed, and only the batch's files are read;
+    finding the newest batch looks at no column, just at partition values.
+    """
     full = T.StructType(list(schema.fields)
                         + [T.StructField(c, T.StringType()) for c in ZONE if c not in schema.names])
-    zone = spark.read.schema(full).option("basePath", base).parquet(base).filter(
-        (F.col("source") == source) & (F.col("entity") == entity))
+    zone = spark.read.schema(full).option("basePath", base).parquet(
+        f"{base}/source={source}/entity={entity}")
     if batch == "latest":
         batch = zone.agg(F.max("batch_id")).first()[0]
     return zone.filter(F.col("batch_id") == batch)
