@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from silverline.functions import fixed
-from silverline.functions.text import _col, blank_to_null, clean_text, let, strip
+from silverline.functions.text import _col, blank_to_null, clean_text, contains_any, let, strip
 
 
 def split_list(c, pattern: str = ",", cut_at: str | None = None) -> Column:
@@ -51,32 +51,26 @@ def ordered_list(values, sep: str = "|") -> Column:
     return blank_to_null(F.array_join(F.filter(_col(values), lambda x: x.isNotNull()), sep))
 
 
-def label_values(pairs: Column, rules: dict[str, list[str]], mode: str = "last") -> dict[str, Column]:
-    """Pivot an array of (label, value) structs of one row into named columns.
+def rule_of(label: Column, rules: dict[str, list[str]]) -> Column:
+    """Name of the first rule with a word in the label."""
+    out = None
+    for name, words in rules.items():
+        hit = contains_any(label, words)
+        out = F.when(hit, F.lit(name)) if out is None else out.when(hit, F.lit(name))
+    return out
 
-    Each pair goes to the first rule with a word in its label. `last` takes the last
-    pair of a rule even when its value is null; `first` and `last_value` take the first
-    and the last non-null one.
+
+def label_value(pairs: Column, name: str, mode: str = "last") -> Column:
+    """Value of a rule among the (rule, value) structs of one row.
+
+    `last` takes the last pair even when its value is null; `first` and `last_value` take
+    the first and the last non-null one.
     """
-    words = list(rules.items())
-
-    def target(label: Column) -> Column:
-        out = None
-        for name, needles in words:
-            hit = None
-            for n in needles:
-                hit = label.contains(n) if hit is None else hit | label.contains(n)
-            out = F.when(hit, F.lit(name)) if out is None else out.when(hit, F.lit(name))
-        return out
-
-    def one(name: str) -> Column:
-        mine = F.filter(pairs, lambda p: F.coalesce(target(p["label"]) == name, F.lit(False)))
-        if mode != "last":
-            mine = F.filter(mine, lambda p: p["value"].isNotNull())
-        at = F.lit(1 if mode == "first" else -1)
-        return F.try_element_at(mine, at)["value"]
-
-    return {name: one(name) for name in rules}
+    if mode == "last":
+        mine = F.filter(pairs, lambda p: F.coalesce(p["rule"] == name, F.lit(False)))
+    else:
+        mine = F.filter(pairs, lambda p: F.coalesce(p["rule"] == name, F.lit(False)) & p["value"].isNotNull())
+    return F.try_element_at(mine, F.lit(1 if mode == "first" else -1))["value"]
 
 
 def synonyms(points, description, name) -> Column:

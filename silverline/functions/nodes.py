@@ -102,8 +102,7 @@ def _flatten(html: str) -> list[list] | None:
         return None
 
 
-@F.arrow_udf(NODE_TYPE)
-def html_nodes(html: pa.Array) -> pa.Array:
+def _node_array(html: pa.Array) -> pa.Array:
     sizes, lasts, ats, tags, classes, texts = [0], [], [], [], [], []
     attr_sizes, keys, values, missing = [0], [], [], []
     for cell in html:
@@ -129,6 +128,14 @@ def html_nodes(html: pa.Array) -> pa.Array:
         pa.array(sizes, pa.int32()), structs, mask=pa.array(missing, pa.bool_()))
 
 
+@F.arrow_udf(NODE_TYPE)
+def html_nodes(html: pa.Array) -> pa.Array:
+    """Node list of each page; only a few pages at a time are held as Python objects."""
+    few = 64
+    starts = range(0, max(len(html), 1), few)
+    return pa.concat_arrays([_node_array(html.slice(i, few)) for i in starts])
+
+
 # ---- Native selectors: a predicate is a function of a node. ----
 
 def tag(*names: str):

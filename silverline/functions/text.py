@@ -59,8 +59,9 @@ def _numeric_references(text: Column, pattern: str, prefix: str, base: int) -> C
 def _unescape(text: Column) -> Column:
     decimal = _numeric_references(text, "&#([0-9]{1,7});", "&#", 10)
     both = let(decimal, lambda t: _numeric_references(t, "&#x([0-9a-fA-F]{1,6});", "&#x", 16))
-    named = F.array(*[F.array(F.lit(k), F.lit(v)) for k, v in [*ENTITIES.items(), ("&amp;", "&")]])
-    return F.aggregate(named, both, lambda acc, e: F.replace(acc, e[0], e[1]))
+    named = F.split(F.lit("\x02".join(f"{k}\x01{v}" for k, v in [*ENTITIES.items(), ("&amp;", "&")])), "\x02")
+    return F.aggregate(named, both, lambda acc, e: F.replace(
+        acc, F.substring_index(e, "\x01", 1), F.substring_index(e, "\x01", -1)))
 
 
 def unescape_entities(c) -> Column:

@@ -110,10 +110,13 @@ def dictionary_rows(nodes: Column, base: str, prefix: str) -> Column:
 
 # ---- Product page sections ----
 
-def _pairs(nodes: Column, items: Column, need_both: bool, joined_value: bool) -> Column:
+def _pairs(nodes: Column, items: Column, rules: dict[str, list[str]], need_both: bool,
+           joined_value: bool) -> Column:
+    """(rule, value) of every label and value element; the label decides the rule."""
     def texts(e):
         value = text_of(nodes, e["val"]) if joined_value else _low(text_of(nodes, e["val"], raw=True))
-        out = F.struct(_low(text_of(nodes, e["lbl"], raw=True)).alias("label"), value.alias("value"))
+        rule = let(_low(text_of(nodes, e["lbl"], raw=True)), lambda label: ls.rule_of(label, rules))
+        out = F.struct(rule.alias("rule"), value.alias("value"))
         return F.when(e["lbl"].isNotNull() & e["val"].isNotNull(), out) if need_both else out
 
     def pair(sub, n):
@@ -125,7 +128,7 @@ def _pairs(nodes: Column, items: Column, need_both: bool, joined_value: bool) ->
 
 def _valued(pairs: Column, convert) -> Column:
     return F.transform(pairs, lambda p: F.struct(
-        p["label"].alias("label"), convert(p["value"]).alias("value")))
+        p["rule"].alias("rule"), convert(p["value"]).alias("value")))
 
 
 def scorecard(nodes: Column) -> Column:
@@ -133,14 +136,13 @@ def scorecard(nodes: Column) -> Column:
              "comedogenic_rating": ["comedogenic"]}
 
     def fields(pairs):
-        flags = ls.label_values(_valued(pairs, t.yes_no), rules)
-        ratios = ls.label_values(_valued(pairs, t.ratio_of_5), rules, "last_value")
+        flags = _valued(pairs, t.yes_no)
         return F.struct(
-            flags["pregnancy_safe"].alias("pregnancy_safe"),
-            flags["fungal_acne_safe"].alias("fungal_acne_safe"),
-            ratios["comedogenic_rating"].alias("comedogenic_rating"))
+            *[ls.label_value(flags, n).alias(n) for n in ("pregnancy_safe", "fungal_acne_safe")],
+            ls.label_value(_valued(pairs, t.ratio_of_5), "comedogenic_rating", "last_value")
+            .alias("comedogenic_rating"))
 
-    return let(_pairs(nodes, select(nodes, cls("pp-scorecard"), cls("item")), False, False), fields)
+    return let(_pairs(nodes, select(nodes, cls("pp-scorecard"), cls("item")), rules, False, False), fields)
 
 
 def specs(nodes: Column) -> Column:
@@ -148,12 +150,12 @@ def specs(nodes: Column) -> Column:
              "ingredients_count": ["ingredient"]}
 
     def fields(pairs):
-        texts = ls.label_values(pairs, rules)
-        counts = ls.label_values(_valued(pairs, t.first_int), rules, "last_value")
-        return F.struct(*[texts[n].alias(n) for n in list(rules)[:3]],
-                        counts["ingredients_count"].alias("ingredients_count"))
+        return F.struct(
+            *[ls.label_value(pairs, n).alias(n) for n in list(rules)[:3]],
+            ls.label_value(_valued(pairs, t.first_int), "ingredients_count", "last_value")
+            .alias("ingredients_count"))
 
-    return let(_pairs(nodes, select(nodes, cls("pp-spec")), True, True), fields)
+    return let(_pairs(nodes, select(nodes, cls("pp-spec")), rules, True, True), fields)
 
 
 def _texts(nodes: Column, found: Column, raw: bool = False) -> Column:

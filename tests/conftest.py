@@ -15,7 +15,7 @@ def spark():
         SparkSession.builder.master("local[8]").appName("silverline-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
+        .config("spark.ui.enabled", "false").config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     return session
