@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from silverline.functions import fixed, jsonld, lists as ls, text as t
 from silverline.functions.nodes import (
     TEXT, attr, attr_has, attr_is, both, cls, cls_like, either, first_of, first_text, inside,
-    joined_text, other_classes, raw_text, select, select_one, tag, text_of, with_nodes)
+    joined_text, other_classes, raw_text, select, select_one, tag, text_of)
 from silverline.functions.text import let
 
 

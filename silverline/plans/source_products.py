@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from silverline.functions import fixed, jsonld, lists as ls, text as t
+from silverline.functions import fixed, jsonld, lists as ls
 from silverline.functions.nodes import attr_is, both, cls, first_text, tag, with_nodes
 from silverline.operators import pages as pg
 from silverline.operators.columns import stamp_batch

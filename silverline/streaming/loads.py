@@ -3,7 +3,8 @@
 Keyed loads run per micro-batch as plain joins and aggregations, which merge hot keys on
 the map side and keep no operator state; what is already known lives in the target table.
 Each micro-batch owns the directory `batch=N` and overwrites it, so a batch that is run
-again after a failure writes the same rows once.
+again after a failure writes the same rows once. A target belongs to one checkpoint: batch
+numbers start over with a new one.
 """
 
 from __future__ import annotations

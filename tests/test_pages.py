@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from silverline.functions.nodes import raw_text, joined_text, select, tag, with_nodes
 from silverline.plans.dictionary import build_ingredient_dictionary
-from silverline.plans.entities import build_entities, entity_tables, page_records
+from silverline.plans.entities import build_entities, page_records
 from silverline.plans.source_products import build_source_products
 from silverline.operators import pages as pg
 
