@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from silverline.llm import langid, line_dedup, simhash, toxicity
+from silverline.llm import langid, line_dedup, mixing, simhash, toxicity
 from silverline.llm.common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,66 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_texts(docs, scorer).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+@_query("op5_mixing", r"""
+WITH RECURSIVE
+sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+    row_number() OVER () AS r FROM documents),
+own AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+    row_number() OVER (ORDER BY source NULLS LAST) AS sid FROM sized GROUP BY source),
+weighed AS (SELECT *, (sid - 1) % 3 + 1 AS weight FROM own),
+filling AS (
+  SELECT *, row_number() OVER f AS k,
+    (sum(source_size) OVER ())::DOUBLE AS total,
+    coalesce(sum(3 * source_size) OVER (f ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+      AS full_before,
+    sum(weight) OVER (f ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weight_left
+  FROM weighed WINDOW f AS (ORDER BY source_size / weight, sid)),
+level AS (
+  SELECT (total - full_before) / weight_left AS level FROM filling
+  WHERE 3 * source_size >= weight * ((total - full_before) / weight_left) ORDER BY k LIMIT 1),
+aimed AS (
+  SELECT w.*, least(3.0::DOUBLE * source_size, weight * level) AS target,
+    (source_size + 63) // 64 AS blocks FROM weighed w, level),
+needed AS (
+  SELECT *, CASE WHEN source_size > 0
+    THEN floor(target * blocks / source_size * 1024)::BIGINT ELSE 0 END AS slots FROM aimed),
+summed AS (
+  SELECT *, sum(slots) OVER (ORDER BY sid) AS upto, sum(slots) OVER () AS fine FROM needed),
+arcs AS (
+  SELECT *, floor((upto - slots)::DOUBLE / fine::DOUBLE * 1073741824.0)::BIGINT AS low,
+    floor(upto::DOUBLE / fine::DOUBLE * 1073741824.0)::BIGINT AS high FROM summed),
+points AS (
+  SELECT slot, slot % 1073741824 * 663608941 % 1073741824 AS point
+  FROM (SELECT unnest(range((SELECT ((max(fine) + 1023) // 1024)::BIGINT FROM summed))) AS slot)),
+ranked AS (
+  SELECT sid, blocks, row_number() OVER (PARTITION BY sid ORDER BY slot) - 1 AS rank
+  FROM points JOIN arcs ON point >= low AND point < high),
+uses AS (
+  SELECT sid, rank % blocks AS block, count(*) AS uses FROM ranked
+  WHERE rank < 3 * blocks GROUP BY ALL),
+ranges AS (SELECT greatest(1, count(*) // 4096) AS n FROM sized),
+marked AS (
+  SELECT sized.*, a.sid, a.source_size, a.target,
+    md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS mark
+  FROM sized JOIN arcs a ON sized.source IS NOT DISTINCT FROM a.source),
+laid AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY sid
+    ORDER BY ('0x' || substr(mark, 1, 8))::BIGINT % (SELECT n FROM ranges), mark, doc_id, size, r
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+  FROM marked),
+cut AS (
+  SELECT *, unnest(range(start // 64, (start + size - 1) // 64 + 1)) AS block
+  FROM laid WHERE size > 0),
+sums AS (
+  SELECT r, sum((least(start + size, (block + 1) * 64) - greatest(start, block * 64)) * uses) AS t
+  FROM cut JOIN uses USING (sid, block) GROUP BY r)
+SELECT doc_id, size::BIGINT AS size, source_size, target,
+  coalesce(t, 0)::BIGINT AS taken
+FROM laid LEFT JOIN sums USING (r)""")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return (mixing.mix(_table(spark, folder, "documents")).taken()
+            .select("doc_id", "size", "source_size", "target", "taken"))
