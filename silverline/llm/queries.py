@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from silverline.llm import langid, line_dedup, mixing, simhash, toxicity
+from silverline.llm import langid, line_dedup, mixing, packing, simhash, toxicity
 from silverline.llm.common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,8 @@ FROM laid LEFT JOIN sums USING (r)""")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return (mixing.mix(_table(spark, folder, "documents")).taken()
             .select("doc_id", "size", "source_size", "target", "taken"))
+
+
+@_query("op6_packing")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, folder, "documents")).drop("row")
