@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from silverline.llm import langid, line_dedup, mixing, packing, simhash, toxicity
+from silverline.llm import chat, langid, line_dedup, mixing, packing, quality, simhash, toxicity
 from silverline.llm.common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,3 +139,40 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op6_packing")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(_table(spark, folder, "documents")).drop("row")
+
+
+@_query("op7_chat", r"""
+WITH rows AS (
+  SELECT conv_id, turn, role, text FROM conversations UNION ALL
+  VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'),
+         (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+filled AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM rows),
+escaped AS (
+  SELECT *, length(replace(replace(replace(text, '\', '\\'), '###', '\h'), '</turn>', '\e'))
+    + length(replace(replace(replace(replace(replace(role, '\', '\\'), '###', '\h'),
+        '</turn>', '\e'), ':', '\c'), chr(10), '\n'))
+    + length('### :') + 1 + length('</turn>') + 1 AS chars FROM filled),
+said AS (
+  SELECT conv_id, count(*) AS n_turns, sum(chars)::BIGINT AS formatted_chars,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+    coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')
+      AS loss
+  FROM escaped GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars,
+  sha256(loss) AS loss_sha256, formatted_chars FROM said""")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
+                                  "conv_id long, turn long, role string, text string")
+    rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    formatted = chat.format_trees(chat.conversation_messages(rows.union(extra)))
+    conv_id = F.when(F.col("tree") != chat.NO_TREE, F.col("tree")).alias("conv_id")
+    return chat.read_back_digests(formatted).select(conv_id, "*").drop("tree")
+
+
+@_query("op8_quality")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(_table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "quality")
