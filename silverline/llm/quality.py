@@ -2,7 +2,7 @@
 
 A few rules look at a document and vote good (1), bad (-1) or abstain (0). No rule decides
 alone: a latent good or bad class is assumed behind the votes, and expectation-maximisation over
-all documents estimates how often good and bad documents get each vote of each rule, and how
+all documents that pass the base rules estimates how often good and bad documents get each vote of each rule, and how
 common good ones are. A document's quality is the posterior probability that it is good.
 
 Everything is DataFrame operations. The features of a document are arrays of its own row: no
@@ -28,6 +28,8 @@ ROUNDS = 12
 START = {"good": (0.02, 0.28, 0.70), "bad": (0.30, 0.30, 0.40)}  # chances of votes -1, 0, 1
 START_GOOD = 0.8
 KEEP = 0.5
+PRIOR = 0.01  # weight of START beside the documents, as a share of them
+PLAIN = r"^[\p{P}]{0,2}\p{L}[\p{L}\p{M}'\x{2019}-]*[.,;:!?\"')\]\x{bb}]*$"  # an ordinary word
 
 _NUMBER = F.lit(0).cast("long")
 
@@ -68,6 +70,8 @@ def features(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Dat
         F.size(F.array_distinct("_hashes")).cast("long").alias("n_distinct"),
         F.regexp_count("_text", F.lit("[A-Z]")).cast("long").alias("n_upper"),
         F.regexp_count("_text", F.lit(r"[!?]{2,}|\.{4,}")).cast("long").alias("n_shouts"),
+        F.size(F.filter("_words", lambda w: w.rlike(PLAIN))).cast("long").alias("n_plain"),
+        F.regexp_count("_text", F.lit(r"[.!?][\x20\x09-\x0D]")).cast("long").alias("n_stops"),
         F.size(F.filter("_lines", lambda x: x.rlike(r"[.!?:;\"'\p{Pf}\)][\x20\x09-\x0D]*$")))
         .cast("long").alias("n_ended"))
 
@@ -88,6 +92,8 @@ def rules() -> dict[str, tuple[Column, Column]]:
         "capitals": (upper > 0.4, upper < 0.12),
         "shouting": (c("n_shouts") > 0.2 * c("n_words"), c("n_shouts") < 0.01 * words),
         "line_ends": (ended < 0.2, ended > 0.7),
+        "plain_words": (c("n_plain") < 0.6 * c("n_words"), c("n_plain") > 0.85 * words),
+        "sentences": (c("n_words") > 60 * (c("n_stops") + 1), c("n_words") < 35 * (c("n_stops") + 1)),
         "variety": ((c("n_words") >= 100) & (c("n_distinct") < 0.15 * c("n_words")),
                     c("n_distinct") > 0.3 * words),
     }
@@ -128,7 +134,8 @@ def estimate(voted: DataFrame, rounds: int = ROUNDS) -> tuple[dict, float]:
         if not row["n"]:
             break
         good = (row["good"] + 1) / (row["n"] + 2)
-        rates = {y: {n: tuple(((row[f"{y}_{n}_{v}"] or 0.0) + 10 * START[y][v + 1]) / (row[y] + 10)
+        held = PRIOR * row["n"]
+        rates = {y: {n: tuple(((row[f"{y}_{n}_{v}"] or 0.0) + held * START[y][v + 1]) / (row[y] + held)
                               for v in (-1, 0, 1)) for n in names} for y in part}
     return rates, good
 
@@ -137,8 +144,8 @@ def judge(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
           rounds: int = ROUNDS, keep: float = KEEP) -> DataFrame:
     """The features with `base_failed`, `quality` (the posterior) and `kept`."""
     voted = durable(votes(features(docs, text, doc_id)))
-    rates, good = estimate(voted, rounds)
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    rates, good = estimate(voted.filter(~failed), rounds)
     return (voted.withColumn("quality", posterior(rates, good, list(rules())))
             .withColumn("base_failed", failed)
             .withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= keep)))
