@@ -31,7 +31,7 @@ from silverline.llm.common import batches
 
 DIM = 1 << 13
 BLOCK = 1 << 18
-PER_LANGUAGE, MAX_CHARS, CENTROIDS = 1200, 20_000, 4
+PER_LANGUAGE, MAX_CHARS, CENTROIDS = 400, 20_000, 4
 UNKNOWN = "und"
 
 _FACTORS = np.array([2654435761, 2246822519, 3266489917], np.uint32)
@@ -103,9 +103,13 @@ def fit(rows: list[tuple[str, str]], centroids: int = CENTROIDS) -> Centroids:
     rows = [(t, x) for t, x in rows if has_letter(t)]
     if not rows:
         return Centroids(np.ones(DIM), np.zeros((0, DIM)), [], np.zeros(0))
-    counts = np.stack([gram_counts(t).astype(np.float32) for t, _ in rows])
-    idf = np.log((1 + len(rows)) / (1 + (counts > 0).sum(axis=0))) + 0.1
-    points, langs = _scaled(np.sqrt(counts) * idf), np.array([x for _, x in rows])
+    points = np.zeros((len(rows), DIM), np.float32)
+    for i, (text, _) in enumerate(rows):
+        points[i] = np.sqrt(gram_counts(text))
+    idf = np.log((1 + len(rows)) / (1 + (points > 0).sum(axis=0))) + 0.1
+    points *= idf.astype(np.float32)
+    points /= np.maximum(np.linalg.norm(points, axis=1, keepdims=True), 1e-9)
+    langs = np.array([x for _, x in rows])
     centres, names, least = [], [], []
     for name in sorted(set(langs.tolist())):
         own = points[langs == name]

@@ -42,8 +42,8 @@ from silverline.llm.common import SPACES, batches
 PIECE, STEP = 14, 7
 LETTERS = 128
 DECAY = 0.5
-LANDMARKS = 384
-PER_CLASS, MAX_CHARS = 1500, 20_000
+LANDMARKS = 320
+PER_CLASS, MAX_CHARS = 700, 20_000
 THRESHOLD = 0.3
 CACHE = 1 << 19
 NONE = -2.0
@@ -209,7 +209,7 @@ def _witnesses(bags: list[list[str]], value: dict[str, float]) -> Counter:
 
 def fit(rows: list[tuple[str, int]], landmarks: int = LANDMARKS, rounds: int = 4) -> Scorer:
     """Fit from (text, toxic) pairs in a fixed order."""
-    raw = [(words(t), y) for t, y in rows]
+    raw = [(Counter(words(t)), y) for t, y in rows]
     bags = {v: [own for own in ([p for w in set(ws) for p in pieces(w)[:1]]
                                 for ws, y in raw if y == v) if own] for v in (0, 1)}
     if not bags[0] or not bags[1]:
@@ -221,7 +221,7 @@ def fit(rows: list[tuple[str, int]], landmarks: int = LANDMARKS, rounds: int = 4
     clean = sorted(b, key=lambda w: (-b[w], w))
     toxic = _witnesses(bags[1], value)
     telling = [w for w, _ in sorted(toxic.items(), key=lambda x: (-x[1], x[0]))]
-    negatives = set(clean[:3000]) | set(clean[::max(1, len(clean) // 6000)])
+    negatives = set(clean[:2000]) | set(clean[::max(1, len(clean) // 3000)])
     for step in range(rounds):
         marks = telling[:landmarks // 2]
         hard = sorted(negatives) if not step else mined
@@ -249,17 +249,16 @@ def fit(rows: list[tuple[str, int]], landmarks: int = LANDMARKS, rounds: int = 4
         telling = [w for w, _ in sorted(toxic.items(), key=lambda x: (-x[1], x[0]))]
         own = sorted(set(b) - toxic.keys())
         far = margins(own, weights)
-        mined = [own[i] for i in np.argsort(-far, kind="stable")[:2000]]
+        mined = [own[i] for i in np.argsort(-far, kind="stable")[:1500]]
         negatives |= set(mined)
     return _calibrated(scorer, raw)
 
 
-def _calibrated(scorer: Scorer, raw: list[tuple[list[str], int]]) -> Scorer:
+def _calibrated(scorer: Scorer, raw: list[tuple[Counter, int]]) -> Scorer:
     """Puts the threshold where fewest training documents err, clean ones counting double."""
-    counts = [(Counter(ws), y) for ws, y in raw]
-    scorer.learn(set().union(*[c for c, _ in counts]))
-    values = np.array([scorer.value(c) for c, _ in counts])
-    labels = np.array([y for _, y in counts])
+    scorer.learn(set().union(*[c for c, _ in raw]))
+    values = np.array([scorer.value(c) for c, _ in raw])
+    labels = np.array([y for _, y in raw])
     order = np.argsort(values)
     values, labels = values[order], labels[order]
     wrong = np.cumsum(labels == 1) + 2 * ((labels == 0).sum() - np.cumsum(labels == 0))
