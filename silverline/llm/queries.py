@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from silverline.llm import (chat, langid, line_dedup, mixing, neighbours, packing, quality, simhash,
-                            toxicity)
+                            substrings, toxicity)
 from silverline.llm.common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,13 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@_query("op1_substrings")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substrings.dedup_substrings(_table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed",
+                       F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 @_query("op2_neighbours")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
