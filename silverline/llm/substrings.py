@@ -115,7 +115,7 @@ def _pair_round(sym, low, high, salt: int):
 def parse(words: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Level by level the symbols of a row of words, and the start and end of their support.
 
-    END separates texts; it is never part of a name.
+    END separates texts, and comes first and last; it is never part of a name.
     """
     place = np.arange(len(words))
     levels = [(words, place, place + 1)]
@@ -227,8 +227,8 @@ def _anchor_rows(window: int):
             texts = [reader.words(t) for t in raw_texts(batch.column(2))]
             for group in _stretches(texts, window):
                 sizes = np.array([len(p) for _, _, p in group])
-                words = np.concatenate([x for _, _, p in group for x in (p, [END])])
-                begins = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
+                words = np.concatenate([x for _, _, p in group for x in ([END], p)] + [[END]])
+                begins = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]]) + 1
                 counts = np.maximum(0, sizes - window + 1)
                 part = np.repeat(np.arange(len(group)), counts)
                 inner = np.arange(len(part)) - np.repeat(np.cumsum(counts) - counts, counts)
