@@ -182,18 +182,20 @@ def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """Rows of `docs`, each as often as the mix takes its words, to the nearest whole number."""
+    """Rows of `docs`, each as often as the mix takes its words, to the nearest whole number.
+
+    Rows with the same id, source and size share what is taken from them. Takes the columns
+    doc_id, source and text; others ride along.
+    """
     plan = mix(docs, **options)
-    turn = Window.partitionBy("doc_id", "source", "size").orderBy("_tie")
-    copies = (plan.taken().filter("size > 0")
-              .withColumn("copies", F.expr("(2 * taken + size) div (2 * size)"))
-              .select("doc_id", "source", "size", "copies", F.col("row").alias("_tie"))
-              .withColumn("_turn", F.row_number().over(turn)).drop("_tie").filter("copies > 0"))
-    rows = (docs.withColumn("size", word_count())
-            .withColumn("_tie", F.xxhash64("text"))
-            .withColumn("_turn", F.row_number().over(turn)).drop("_tie"))
-    a, b = rows.alias("a"), copies.alias("b")
-    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ("doc_id", "source", "size", "_turn")]
-    met = a.join(b, same[0] & same[1] & same[2] & same[3])
-    return met.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("b.copies").cast("int")))) \
-        .select(*[F.col(f"a.{c}") for c in docs.columns])
+    copies = (plan.taken().filter("size > 0").groupBy("doc_id", "source", "size")
+              .agg(F.sum("taken").alias("taken"), F.count(F.lit(1)).alias("rows"))
+              .select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"),
+                      F.col("size").alias("_size"),
+                      F.expr("(2 * taken + rows * size) div (2 * rows * size)").alias("_copies"))
+              .filter("_copies > 0"))
+    met = docs.withColumn("_words", word_count()).join(
+        durable(copies), F.col("doc_id").eqNullSafe(F.col("_id"))
+        & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_words") == F.col("_size")))
+    return (met.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+            .select(*docs.columns))

@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from silverline.llm.common import batches, raw_texts, word_ends
 from silverline.llm.components import connected_components
@@ -198,3 +198,20 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     named = (reps.join(components, reps["rep"] == components["node"], "left")
              .select("fp", F.coalesce("component", "rep").alias("component_id")))
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 3,
+                radius: int = 2) -> DataFrame:
+    """The rows of `docs` whose id names their component: the smallest document of each group.
+
+    Of rows sharing such an id one stays, the one with the smallest text hash. Rows with a null
+    id cannot stand for a group and all stay.
+    """
+    found = near_duplicates(docs, text, doc_id, shingle, radius).filter("doc_id = component_id")
+    keep = found.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
+    met = docs.join(durable(keep), F.col(doc_id) == F.col("_id"))
+    first = Window.partitionBy("_id").orderBy(F.xxhash64(text), F.xxhash64(*docs.columns))
+    several = (met.filter("_n > 1").withColumn("_turn", F.row_number().over(first))
+               .filter("_turn = 1"))
+    return (met.filter("_n = 1").select(*docs.columns).union(several.select(*docs.columns))
+            .union(docs.filter(F.col(doc_id).isNull())))

@@ -284,17 +284,23 @@ def training_rows(docs: DataFrame, labels: DataFrame, usable: Column,
     return [(r["text"], r["toxic"]) for r in sorted(rows, key=lambda r: r["doc_id"])]
 
 
-def score_texts(docs: DataFrame, scorer: Scorer, text: str = "text",
-                doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, score), one row per row."""
+def score_texts(docs: DataFrame, scorer: Scorer, text: str = "text", doc_id: str = "doc_id",
+                keep: list[str] | None = None) -> DataFrame:
+    """(doc_id, score) and the columns named in `keep`, one row per row."""
     shared = docs.sparkSession.sparkContext.broadcast(scorer)
+    rest = F.struct(*[F.col(c) for c in keep]) if keep else F.lit(None).cast("int")
+    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"),
+                         rest.alias("rest"))
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches(rows, 256):
             found = own.scores(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())],
-                                             ["doc_id", "score"])
-
-    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return source.mapInArrow(run, "doc_id long, score double")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(found, pa.float64()), batch.column(2)],
+                ["doc_id", "score", "rest"])
+
+    kind = dict(source.dtypes)["rest"]
+    found = source.mapInArrow(run, f"doc_id long, score double, rest {kind}")
+    return found.select("doc_id", "score", *[F.col(f"rest.`{c}`").alias(c) for c in keep or []
+                                             if c not in ("doc_id", "score")])
