@@ -155,6 +155,7 @@ def repeated_keys(digests: DataFrame, max_filter_bytes: int = MAX_FILTER_BYTES)
         suspects = found if suspects is None else suspects.union(found)
     firsts = (suspects.groupBy("h", "g").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
               .filter("first < last").drop("last"))
+    firsts = durable(firsts)  # so that the join is one that adaptive execution may split
     return suspects.join(firsts, ["h", "g"]).filter("doc > first").select("doc", "h", "g")
 
 
@@ -196,4 +197,4 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min
         _without(min_chars),
         f"doc_id long, kept_text string, n_lines long, n_dropped long, rest {kind}")
     return out.select("doc_id", "kept_text", "n_lines", "n_dropped",
-                      *[F.col(f"rest.{c}").alias(c) for c in keep or []])
+                      *[F.col(f"rest.`{c}`").alias(c) for c in keep or []])
