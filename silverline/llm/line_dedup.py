@@ -135,11 +135,12 @@ def _filter_bits(sightings: DataFrame, chunks: int) -> np.ndarray:
     return whole.ravel()
 
 
-def repeated_keys(digests: DataFrame, max_filter_bytes: int = MAX_FILTER_BYTES) -> DataFrame:
+def repeated_keys(digests: DataFrame, max_filter_bytes: int = MAX_FILTER_BYTES,
+                  lines_a_chunk: int = LINES_A_CHUNK) -> DataFrame:
     """(doc, h, g): digests that a smaller document holds too."""
     spark = digests.sparkSession
     chunks_a_pass = max(1, 1 << int(math.log2(max(1, max_filter_bytes >> CHUNK_BITS - 3))))
-    needed = max(1, digests.count() / LINES_A_CHUNK)
+    needed = max(1, digests.count() / lines_a_chunk)
     chunks = 1 << math.ceil(math.log2(needed))
     passes = max(1, chunks // chunks_a_pass)
     chunk_bits, pass_bits = int(math.log2(min(chunks, chunks_a_pass))), int(math.log2(passes))

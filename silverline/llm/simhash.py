@@ -12,9 +12,8 @@ within the radius is ever missed, whatever the data.
 
 Only distinct fingerprints enter the tables, so copies of a text cost one row. A bucket yields
 a spanning forest of its links: never more edges than members. Empty documents have
-fingerprint zero and take part like any other. Rows with a null id get a fingerprint; the id
-cannot name a component, so their component is that of their fingerprint's other documents,
-else null. Rows repeated with one id get one result each. An empty table gives an empty result.
+fingerprint zero and take part like any other. Rows with a null id get a fingerprint and link
+others too, but cannot name a component: one that has only such rows is null. Rows repeated with one id get one result each. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -129,11 +128,11 @@ def _forest(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> list[tupl
 
 
 def _bucket_links(masks: list[int], radius: int):
-    """Links inside each bucket, from rows (table, key, fp, doc) sorted by table and key."""
-    def links(table: int, fps: np.ndarray, docs: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Links inside each bucket, from rows (table, key, fp) sorted by table and key."""
+    def links(table: int, fps: np.ndarray) -> Iterator[tuple[int, int]]:
         free = ~masks[table] & (1 << BITS) - 1
-        for a, b in _forest(len(fps), _pairs(fps, free, radius)):
-            yield docs[a], docs[b]
+        for a, b in _forest(len(fps), _pairs(fps.view(np.uint64), free, radius)):
+            yield fps[a], fps[b]
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -145,7 +144,7 @@ def _bucket_links(masks: list[int], radius: int):
             edges = np.concatenate([[0], np.nonzero(changed)[0] + 1, [len(part)]])
             found = [pair for i in np.nonzero(np.diff(edges) > 1)[0]
                      for g in [part[edges[i]:edges[i + 1]]]
-                     for pair in links(int(g[0, 0]), g[:, 2].view(np.uint64), g[:, 3])]
+                     for pair in links(int(g[0, 0]), np.ascontiguousarray(g[:, 2]))]
             if found:
                 a, b = np.array(found, np.int64).T
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
@@ -172,19 +171,19 @@ def _bucket_links(masks: list[int], radius: int):
 
 
 def links(prints: DataFrame, radius: int = 2) -> DataFrame:
-    """(a, b): links between the smallest ids of distinct fingerprints within the radius.
+    """(a, b): links between distinct fingerprints within the radius.
 
     They connect exactly the fingerprints that chains of links connect; links that close a
     circle inside a bucket are left out.
     """
     masks = covering_masks(radius)
-    reps = prints.groupBy("fp").agg(F.min("doc_id").alias("doc_id")).filter("doc_id is not null")
+    distinct = prints.select("fp").distinct()
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     tables = F.array(*[F.struct(F.lit(i).cast("long").alias("table"),
                                 F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("key"))
                        for i, m in enumerate(signed)])
-    buckets = (reps.select(F.explode(tables).alias("t"), "fp", "doc_id")
-               .select("t.table", "t.key", "fp", "doc_id")
+    buckets = (distinct.select(F.explode(tables).alias("t"), "fp")
+               .select("t.table", "t.key", "fp")
                .repartition("table", "key").sortWithinPartitions("table", "key"))
     return buckets.mapInArrow(_bucket_links(masks, radius), "a long, b long")
 
@@ -195,9 +194,11 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     prints = durable(fingerprints(docs, text, doc_id, shingle))
     components = connected_components(durable(links(prints, radius)))
     reps = prints.groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    named = (reps.join(components, reps["rep"] == components["node"], "left")
-             .select("fp", F.coalesce("component", "rep").alias("component_id")))
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    rooted = durable(reps.join(components, reps["fp"] == components["node"], "left")
+                     .select("fp", F.coalesce("component", "fp").alias("root"), "rep"))
+    named = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
+    return (prints.join(durable(rooted.join(durable(named), "root").select("fp", "component_id")), "fp")
+            .select("doc_id", "fp", "component_id"))
 
 
 def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 3,
