@@ -31,8 +31,6 @@ KEEP = 0.5
 PRIOR = 0.01  # weight of START beside the documents, as a share of them
 PLAIN = r"^[\p{P}]{0,2}\p{L}[\p{L}\p{M}'\x{2019}-]*[.,;:!?\"')\]\x{bb}]*$"  # an ordinary word
 
-_NUMBER = F.lit(0).cast("long")
-
 
 def features(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Base counts and what the rules look at, one row per row."""
@@ -44,7 +42,7 @@ def features(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Dat
     step = step.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
     windows = F.transform(F.sequence(F.lit(1), F.size("_hashes") - RUN + 1),
                           lambda i: F.xxhash64(F.slice("_hashes", i, RUN)))
-    none = F.array().cast("array<bigint>")
+    none, zero = F.array().cast("array<bigint>"), F.lit(0).cast("long")
     step = step.withColumn("_windows", F.when(F.size("_hashes") > RUN, windows).otherwise(none))
     placed = F.sort_array(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     repeats = F.size(F.array_distinct("_windows")) < F.size("_windows")
@@ -57,7 +55,7 @@ def features(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Dat
     count = F.size("_at")
     gaps = F.zip_with(F.slice("_at", 1, count - 1), F.slice("_at", 2, count - 1),
                       lambda a, b: F.least(b - a, F.lit(RUN)).cast("long"))
-    covered = F.aggregate(gaps, _NUMBER, lambda s, x: s + x) + RUN
+    covered = F.aggregate(gaps, zero, lambda s, x: s + x) + RUN
     joined = F.array_join("_words", "")
     return step.select(
         "doc_id",
@@ -65,7 +63,7 @@ def features(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Dat
         F.length(joined).cast("long").alias("word_chars"),
         F.regexp_count("_text", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        F.when(repeats, covered).otherwise(_NUMBER).alias("n_repeat_words"),
+        F.when(repeats, covered).otherwise(zero).alias("n_repeat_words"),
         F.size("_lines").cast("long").alias("n_lines"),
         F.size(F.array_distinct("_hashes")).cast("long").alias("n_distinct"),
         F.regexp_count("_text", F.lit("[A-Z]")).cast("long").alias("n_upper"),
