@@ -216,7 +216,7 @@ def _(d):
     for drop in drops:
         drop()
         loads.stream_unique(loads.file_stream(d.spark, source, schema), sink, ckpt, "user_id", ["event_id"]).awaitTermination()
-    return d.spark.read.parquet(sink).select("user_id", "event_id")
+    return loads.unique_rows(d.spark, sink, schema)
 
 
 @query("stream_upsert", """

@@ -1,21 +1,33 @@
 """Incremental loads: new files only, restart-safe, with keyed dedupe and upsert.
 
-Keyed loads run per micro-batch as plain joins and aggregations, which merge hot keys on
-the map side and keep no operator state; what is already known lives in the target table.
-Each micro-batch owns the directory `batch=N` and overwrites it, so a batch that is run
-again after a failure writes the same rows once. A target belongs to one checkpoint: batch
-numbers start over with a new one.
+Keyed loads run per micro-batch as plain joins and aggregations, which merge hot keys on the map
+side and keep no operator state; what is already known lives in the target table.
+
+A micro-batch owns the directory `run=<query id>/batch=N` and overwrites it, so a batch that is
+run again after a failure writes the same rows once. The query id lives in the checkpoint: a
+new checkpoint is a new run with directories of its own, and never touches those of another.
+`_runs` holds when each run first wrote; a later run's rows are newer than an earlier one's.
+
+Keyed tables are cut by a hash of the key into `BUCKETS` folders, and a batch reads only the
+folders of its own keys. `compact` folds all directories written so far into one base, published
+by one committed row set: readers see the old directories or the base, never both.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import time
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from silverline.operators.joins import skip_done
 from silverline.operators.keyed import keep_first, keep_last
 
+BUCKETS = 16
+_PLACE = "run string, started long, batch long, bucket int"
+
 
 def file_stream(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.readStream.schema(schema).parquet(path)
@@ -28,45 +40,130 @@ def incremental_append(source: DataFrame, sink: str, checkpoint: str) -> Streami
             .trigger(availableNow=True).start())
 
 
-def _earlier(batch: DataFrame, target: str, number: int, columns: list[str]) -> DataFrame | None:
-    """Rows written by earlier micro-batches (not by a failed try of this one)."""
-    if number == 0:
-        return None
-    schema = StructType([batch.schema[c] for c in columns]).add("batch", "long")
-    return (batch.sparkSession.read.schema(schema).option("basePath", target).parquet(target)
-            .filter(F.col("batch") < number).select(*columns))
+def list_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern, in any store Spark reads."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(s.getPath().toString() for s in found or [])
+
+
+def _bucket(keys: list[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+
+
+def _run_of(spark: SparkSession, checkpoint: str) -> str:
+    return spark.read.json(f"{checkpoint}/metadata").first()["id"]
+
+
+def _start_run(spark: SparkSession, target: str, run: str) -> None:
+    """Note when a run first wrote; written once."""
+    (spark.createDataFrame([(run, int(time.time() * 1000))], "run string, started long").coalesce(1)
+     .write.mode("ignore").parquet(f"{target}/_runs/run={run}"))
+
+
+def _write_batch(rows: DataFrame, target: str, run: str, number: int, keys: list[str]) -> None:
+    _start_run(rows.sparkSession, target, run)
+    (rows.withColumn("bucket", _bucket(keys)).repartition("bucket")
+     .write.mode("overwrite").partitionBy("bucket").parquet(f"{target}/run={run}/batch={number}"))
+
+
+def _folder(path: str) -> tuple[str, int]:
+    run, batch = path.rstrip("/").split("/")[-2:]
+    return run.removeprefix("run="), int(batch.removeprefix("batch="))
+
+
+def _published(spark: SparkSession, target: str) -> tuple[int, str | None, set[tuple[str, int]]]:
+    """The newest base: its version, its path, and the (run, batch) folders folded into it."""
+    versions = [int(p.rsplit("=", 1)[1]) for p in list_folders(spark, f"{target}/_bases/version=*")
+                if list_folders(spark, f"{p}/_SUCCESS")]
+    if not versions:
+        return 0, None, set()
+    rows = spark.read.parquet(f"{target}/_bases/version={max(versions)}").collect()
+    return max(versions), rows[0]["path"], {(r["run"], r["batch"]) for r in rows if r["run"]}
+
+
+def stored_rows(spark: SparkSession, target: str, schema: StructType,
+                skip: tuple[str, int] | None = None) -> DataFrame:
+    """All rows of a keyed target, with where they come from; `skip` leaves out one batch."""
+    _, base, folded = _published(spark, target)
+    live = [p for p in list_folders(spark, f"{target}/run=*/batch=*")
+            if _folder(p) not in folded and _folder(p) != skip]
+    full = StructType([*schema.fields, *StructType.fromDDL(_PLACE).fields])
+    reader = spark.read.schema(full)
+    starts = StructType.fromDDL("run string, started long")
+    runs = (spark.read.schema(starts).parquet(f"{target}/_runs/*").withColumnRenamed("started", "_at")
+            if list_folders(spark, f"{target}/_runs/run=*") else
+            spark.createDataFrame([], starts).withColumnRenamed("started", "_at"))
+    # One row per run, a few; rows of a base carry their own start.
+    rows = spark.createDataFrame([], full) if not live else (
+        reader.option("basePath", target).parquet(*live).drop("started")
+        .join(F.broadcast(runs.groupBy("run").agg(F.min("_at").alias("started"))), "run", "left")
+        .select(*full.names))
+    return rows.union(reader.parquet(base).select(*full.names)) if base else rows
 
 
 def _per_batch(source: DataFrame, checkpoint: str, action) -> StreamingQuery:
-    return (source.writeStream.foreachBatch(action).option("checkpointLocation", checkpoint)
+    def once(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
+        try:
+            action(batch, _run_of(batch.sparkSession, checkpoint), number)
+        finally:
+            batch.unpersist()
+
+    return (source.writeStream.foreachBatch(once).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
 def stream_unique(source: DataFrame, target: str, checkpoint: str, key: str,
                   order: list[str]) -> StreamingQuery:
     """Each key once across all runs: the first row of the first batch that has it."""
-    def append_new(batch: DataFrame, number: int) -> None:
+    def append_new(batch: DataFrame, run: str, number: int) -> None:
         rows = keep_first(batch, [key], order)
-        known = _earlier(batch, target, number, [key])
-        if known is not None:
-            rows = skip_done(rows, known, key)
-        rows.write.mode("overwrite").parquet(f"{target}/batch={number}")
+        touched = [r[0] for r in rows.select(_bucket([key])).distinct().collect()]  # at most BUCKETS
+        known = stored_rows(batch.sparkSession, target, batch.select(key).schema, skip=(run, number))
+        rows = skip_done(rows, known.filter(F.col("bucket").isin(touched)), key)
+        _write_batch(rows, target, run, number, [key])
 
     return _per_batch(source, checkpoint, append_new)
 
 
+def unique_rows(spark: SparkSession, target: str, schema: StructType) -> DataFrame:
+    return stored_rows(spark, target, schema).select(*schema.names)
+
+
 def stream_upsert(source: DataFrame, target: str, checkpoint: str, keys: list[str],
                   order: list[str]) -> StreamingQuery:
     """Keep-last per key. A batch writes only its own newest rows; `current_rows` merges."""
-    def append_latest(batch: DataFrame, number: int) -> None:
-        keep_last(batch, keys, order).write.mode("overwrite").parquet(f"{target}/batch={number}")
+    def append_latest(batch: DataFrame, run: str, number: int) -> None:
+        _write_batch(keep_last(batch, keys, order), target, run, number, keys)
 
     return _per_batch(source, checkpoint, append_latest)
 
 
+def _newest(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """A later run beats an earlier one, then the later batch, then `order` decides."""
+    return keep_last(rows, keys, ["started", "run", "batch", *order])
+
+
 def current_rows(spark: SparkSession, target: str, schema: StructType, keys: list[str],
                  order: list[str]) -> DataFrame:
-    """The upserted table: a later batch beats an earlier one, then `order` decides."""
-    full = StructType(schema.fields).add("batch", "long")
-    rows = spark.read.schema(full).option("basePath", target).parquet(target)
-    return keep_last(rows, keys, ["batch", *order]).drop("batch")
+    """The upserted table."""
+    return _newest(stored_rows(spark, target, schema), keys, order).select(*schema.names)
+
+
+def compact(spark: SparkSession, target: str, schema: StructType, keys: list[str],
+            order: list[str]) -> str:
+    """Fold everything written so far into a new base; no stream may be writing meanwhile.
+
+    Rows keep their run and batch, so what arrives later compares with them as before. Folded
+    folders stay until they are removed by hand; readers pass them over.
+    """
+    version, _, folded = _published(spark, target)
+    live = [_folder(p) for p in list_folders(spark, f"{target}/run=*/batch=*")]
+    base = f"{target}/_base-{uuid.uuid4().hex}"
+    rows = _newest(stored_rows(spark, target, schema), keys, order)
+    rows.repartition("bucket").write.partitionBy("bucket").parquet(base)
+    done = sorted({*live, *folded}) or [(None, None)]
+    (spark.createDataFrame([(base, r, b) for r, b in done], "path string, run string, batch long")
+     .coalesce(1).write.parquet(f"{target}/_bases/version={version + 1}"))
+    return base

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from silverline.sources.shared import fresh_path
@@ -16,25 +17,49 @@ def _source(spark, path):
     return loads.file_stream(spark, path, spark.createDataFrame([], SCHEMA).schema)
 
 
-def test_unique_and_upsert_over_two_runs(spark):
-    source = fresh_path(spark, "drops")
-    unique, unique_log = fresh_path(spark, "u"), fresh_path(spark, "ul")
-    target, target_log = fresh_path(spark, "t"), fresh_path(spark, "tl")
+def _schema(spark):
+    return spark.createDataFrame([], SCHEMA).schema
+
+
+def _unique(spark, source, target, log):
+    loads.stream_unique(_source(spark, source), target, log, "k", ["v"]).awaitTermination()
+
+
+def _upsert(spark, source, target, log):
+    loads.stream_upsert(_source(spark, source), target, log, ["k"], ["v"]).awaitTermination()
+
+
+def _paths(spark, *names):
+    return [fresh_path(spark, n) for n in names]
+
+
+def _keys(spark, path, low, high, shift):
+    (spark.range(low, high).select(F.col("id").alias("k"), (F.col("id") + shift).alias("v"))
+     .write.mode("append").parquet(path))
+
+
+@pytest.mark.parametrize("compacted", [False, True])
+def test_unique_and_upsert_over_two_runs(spark, compacted):
+    source, unique, unique_log, target, target_log = _paths(spark, "d", "u", "ul", "t", "tl")
+    schema = _schema(spark)
     for low, high in ((0, 300), (300, 900)):
         _drop(spark, source, low, high)
-        loads.stream_unique(_source(spark, source), unique, unique_log, "k", ["v"]).awaitTermination()
-        loads.stream_upsert(_source(spark, source), target, target_log, ["k"], ["v"]).awaitTermination()
+        _unique(spark, source, unique, unique_log)
+        _upsert(spark, source, target, target_log)
+        if compacted:
+            loads.compact(spark, unique, schema, ["k"], ["v"])
+            loads.compact(spark, target, schema, ["k"], ["v"])
     every = spark.read.schema(SCHEMA).parquet(source)
     first = every.groupBy("k").agg(F.min("v").alias("v"))
     last = every.groupBy("k").agg(F.max("v").alias("v"))
-    got = spark.read.parquet(unique).select("k", "v")
+    got = loads.unique_rows(spark, unique, schema)
     assert got.exceptAll(first).count() == 0 and got.count() == first.count()
-    now = loads.current_rows(spark, target, every.schema, ["k"], ["v"])
+    now = loads.current_rows(spark, target, schema, ["k"], ["v"])
     assert now.exceptAll(last).count() == 0 and now.count() == last.count()
 
 
 def test_append_takes_each_file_once(spark):
-    source, sink, log = fresh_path(spark, "d"), fresh_path(spark, "s"), fresh_path(spark, "l")
+    source, sink, log = _paths(spark, "d", "s", "l")
     for low, high in ((0, 10), (10, 25)):
         _drop(spark, source, low, high)
         for _ in range(2):  # a second run without new files adds nothing
@@ -42,9 +67,54 @@ def test_append_takes_each_file_once(spark):
     assert spark.read.schema(SCHEMA).parquet(sink).count() == 25
 
 
+def test_second_source_with_a_new_checkpoint_keeps_the_first(spark):
+    one, two, target, *logs = _paths(spark, "a", "b", "t", "l1", "l2")
+    _keys(spark, one, 0, 20, 0)
+    _keys(spark, two, 18, 25, 1000)
+    schema = _schema(spark)
+    for source, log in zip((one, two), logs):
+        _upsert(spark, source, target, log)
+    got = {r.k: r.v for r in loads.current_rows(spark, target, schema, ["k"], ["v"]).collect()}
+    assert got == {k: k + (1000 if k >= 18 else 0) for k in range(25)}
+
+
+def test_lost_checkpoint_repeats_no_key(spark):
+    source, target, *logs = _paths(spark, "d", "t", "l1", "l2")
+    _keys(spark, source, 0, 20, 0)
+    for log in logs:
+        _unique(spark, source, target, log)
+    assert loads.unique_rows(spark, target, _schema(spark)).count() == 20
+
+
 def test_batch_run_again_writes_the_same_rows(spark):
-    source, target = fresh_path(spark, "d"), fresh_path(spark, "t")
+    source, target = _paths(spark, "d", "t")
     _drop(spark, source, 0, 100)
-    for _ in range(2):  # a lost checkpoint replays batch 0 into the same directory
-        loads.stream_unique(_source(spark, source), target, fresh_path(spark, "l"), "k", ["v"]).awaitTermination()
-    assert spark.read.parquet(target).count() == spark.read.parquet(source).select("k").distinct().count()
+    rows = spark.read.schema(SCHEMA).parquet(source)
+    for _ in range(2):
+        loads._write_batch(rows, target, "r", 0, ["k"])
+    assert loads.stored_rows(spark, target, rows.schema).count() == rows.count()
+    assert loads.stored_rows(spark, target, rows.schema, skip=("r", 0)).count() == 0
+
+
+def test_later_run_wins_after_compaction(spark):
+    one, two, target, *logs = _paths(spark, "a", "b", "t", "l1", "l2")
+    _keys(spark, one, 0, 5, 100)
+    _keys(spark, two, 0, 5, 0)
+    schema = _schema(spark)
+    _upsert(spark, one, target, logs[0])
+    loads.compact(spark, target, schema, ["k"], ["v"])
+    _upsert(spark, two, target, logs[1])
+    for _ in range(2):
+        got = {r.k: r.v for r in loads.current_rows(spark, target, schema, ["k"], ["v"]).collect()}
+        assert got == {k: k for k in range(5)}
+        loads.compact(spark, target, schema, ["k"], ["v"])
+
+
+def test_known_keys_are_read_from_touched_folders_only(spark):
+    source, target, log = _paths(spark, "d", "t", "l")
+    _keys(spark, source, 0, 500, 0)
+    _unique(spark, source, target, log)
+    known = loads.stored_rows(spark, target, _schema(spark))
+    assert "bucket" in known.columns
+    plan = known.filter(F.col("bucket").isin([3]))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [(bucket" in plan, plan
