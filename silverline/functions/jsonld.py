@@ -5,20 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
+from silverline.functions.nodes import HIDDEN
 from silverline.functions.text import _col, clean_text, let, safe_lower
 
-_SCRIPT = r"""(?s)<script[^>]*type\s*=\s*["']application/ld\+json["'][^>]*>(.*?)</script>"""
-
-
 def _get(v: Column, path: str, as_type: str) -> Column:
     return F.try_variant_get(v, path, as_type)
 
 
-def jsonld_objects(html) -> Column:
+def _scripts(nodes: Column) -> Column:
+    """Texts of the linked-data scripts of a page; comments hold none."""
+    linked = lambda n: (n["tag"] == "script") & F.coalesce(
+        safe_lower(n["attrs"]["type"]) == "application/ld+json", F.lit(False))
+    return F.transform(F.filter(nodes, linked), lambda n: F.array_join(F.transform(
+        F.filter(F.slice(nodes, n["at"] + 1, n["last"] - n["at"]), lambda x: x["tag"] == HIDDEN),
+        lambda x: x["text"]), ""))
+
+
+def jsonld_objects(nodes) -> Column:
     """array<variant> of all linked-data objects; bad JSON is skipped, lists are flattened."""
     none = F.array().cast("array<variant>")
-    parsed = F.transform(F.regexp_extract_all(_col(html), F.lit(_SCRIPT), F.lit(1)),
-                         lambda b: F.try_parse_json(b))
+    parsed = F.transform(_scripts(_col(nodes)), lambda b: F.try_parse_json(b))
     kept = F.filter(parsed, lambda v: v.isNotNull())
     return F.flatten(F.transform(kept, lambda v: F.when(
         _get(v, '$["@graph"]', "variant").isNotNull(),
@@ -83,6 +89,11 @@ def brand_of(product: Column) -> Column:
                                  scalar_text(product, "$.brand")), strip_tags=True)
 
 
+def image_text(product: Column) -> Column:
+    """The whole `image` value as text: a list keeps all its members."""
+    return _get(product, "$.image", "string")
+
+
 def image_of(product: Column) -> Column:
     """Image given as text or as a list, whose head counts."""
     return F.coalesce(_get(product, "$.image[0]", "string"), scalar_text(product, "$.image"))

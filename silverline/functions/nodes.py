@@ -22,6 +22,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 NODE_TYPE = T.ArrayType(T.StructType([
     T.StructField("at", T.IntegerType()), T.StructField("last", T.IntegerType()),
+    T.StructField("parent", T.IntegerType()), T.StructField("depth", T.IntegerType()),
     T.StructField("tag", T.StringType()), T.StructField("cls", T.StringType()),
     T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
     T.StructField("text", T.StringType())]))
@@ -32,14 +33,27 @@ HIDDEN = "#hidden"  # text of script, style and template elements
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "keygen", "link",
         "menuitem", "meta", "param", "source", "track", "wbr"}
 UNSHOWN = {"script", "style", "template"}
+# Elements whose end tag a following start tag implies, and where the search for them stops.
+BLOCKS = ("address article aside blockquote center details dialog dir div dl fieldset figcaption "
+          "figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul")
+IMPLIED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"},
+           "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
+           "tbody": {"tr", "td", "th", "thead", "tbody"}, "tfoot": {"tr", "td", "th", "tbody"},
+           **{t: {"p"} for t in BLOCKS.split()}}
+SCOPE = {"ul", "ol", "dl", "table", "select", "button", "html", "body", "template"}
 # --- End of fixed values. ---
 
 
 class _Flattener(HTMLParser):
-    """Collects (last, tag, cls, attrs, text) per node; an end tag closes up to its match."""
+    """Collects (last, parent, depth, tag, cls, attrs, text) per node.
 
-    def __init__(self):
+    An end tag closes up to its match. With `tree`, start tags also close the elements whose end
+    they imply, as tree-building parsers do: a list item ends at the next one.
+    """
+
+    def __init__(self, tree: bool = False):
         super().__init__(convert_charrefs=True)
+        self.tree = tree
         self.nodes: list[list] = []
         self.stack: list[tuple[str, int]] = []
         self.open: dict[str, int] = {}
@@ -48,10 +62,13 @@ class _Flattener(HTMLParser):
     def _flush(self):
         if self.pending:
             shown = not self.stack or self.stack[-1][0] not in UNSHOWN
-            self.nodes.append([len(self.nodes) + 1, TEXT if shown else HIDDEN, "", {},
-                               "".join(self.pending)])
+            self.nodes.append([len(self.nodes) + 1, *self._place(), TEXT if shown else HIDDEN, "",
+                               {}, "".join(self.pending)])
             self.pending.clear()
 
+    def _place(self) -> tuple[int, int]:
+        return (self.stack[-1][1] + 1 if self.stack else 0), len(self.stack)
+
     def handle_data(self, data):
         self.pending.append(data)
 
@@ -63,9 +80,28 @@ class _Flattener(HTMLParser):
         attrs = {k: v or "" for k, v in attrs}
         cls = attrs.get("class")
         cls = f" {' '.join(cls.split())} " if cls else ""
-        self.nodes.append([len(self.nodes) + 1, tag, cls, attrs, None])
+        self.nodes.append([len(self.nodes) + 1, *self._place(), tag, cls, attrs, None])
+
+    def _imply_ends(self, tag):
+        ends = IMPLIED.get(tag, ())
+        for at in range(len(self.stack) - 1, -1, -1):
+            name = self.stack[at][0]
+            if name in ends:
+                self._flush()
+                while len(self.stack) > at:
+                    self._pop()
+            elif name in SCOPE:
+                return
+
+    def _pop(self) -> str:
+        name, at = self.stack.pop()
+        self.open[name] -= 1
+        self.nodes[at][0] = len(self.nodes)
+        return name
 
     def handle_starttag(self, tag, attrs):
+        if self.tree:
+            self._imply_ends(tag)
         self._element(tag, attrs)
         if tag not in VOID:
             self.stack.append((tag, len(self.nodes) - 1))
@@ -78,12 +114,8 @@ class _Flattener(HTMLParser):
         self._flush()
         if not self.open.get(tag):
             return
-        while True:
-            name, at = self.stack.pop()
-            self.open[name] -= 1
-            self.nodes[at][0] = len(self.nodes)
-            if name == tag:
-                return
+        while self._pop() != tag:
+            pass
 
     def finish(self) -> list[list]:
         self.close()
@@ -93,8 +125,8 @@ class _Flattener(HTMLParser):
         return self.nodes
 
 
-def _flatten(html: str) -> list[list] | None:
-    parser = _Flattener()
+def _flatten(html: str, tree: bool = False) -> list[list] | None:
+    parser = _Flattener(tree)
     try:
         parser.feed(html)
         return parser.finish()
@@ -102,14 +134,17 @@ def _flatten(html: str) -> list[list] | None:
         return None
 
 
-def _node_array(html: pa.Array) -> pa.Array:
+def _node_array(html: pa.Array, tree: bool) -> pa.Array:
     sizes, lasts, ats, tags, classes, texts = [0], [], [], [], [], []
+    parents, depths = [], []
     attr_sizes, keys, values, missing = [0], [], [], []
     for cell in html:
-        nodes = None if not cell.is_valid else _flatten(cell.as_py())
+        nodes = None if not cell.is_valid else _flatten(cell.as_py(), tree)
         missing.append(nodes is None)
-        for at, (last, tag, cls, attrs, text) in enumerate(nodes or (), start=1):
+        for at, (last, parent, depth, tag, cls, attrs, text) in enumerate(nodes or (), start=1):
             ats.append(at)
+            parents.append(parent)
+            depths.append(depth)
             lasts.append(last)
             tags.append(tag)
             classes.append(cls)
@@ -121,19 +156,31 @@ def _node_array(html: pa.Array) -> pa.Array:
     attrs = pa.MapArray.from_arrays(
         pa.array(attr_sizes, pa.int32()), pa.array(keys, pa.string()), pa.array(values, pa.string()))
     structs = pa.StructArray.from_arrays(
-        [pa.array(ats, pa.int32()), pa.array(lasts, pa.int32()), pa.array(tags, pa.string()),
+        [pa.array(ats, pa.int32()), pa.array(lasts, pa.int32()), pa.array(parents, pa.int32()),
+         pa.array(depths, pa.int32()), pa.array(tags, pa.string()),
          pa.array(classes, pa.string()), attrs, pa.array(texts, pa.string())],
-        names=["at", "last", "tag", "cls", "attrs", "text"])
+        names=["at", "last", "parent", "depth", "tag", "cls", "attrs", "text"])
     return pa.ListArray.from_arrays(
         pa.array(sizes, pa.int32()), structs, mask=pa.array(missing, pa.bool_()))
 
 
-@F.arrow_udf(NODE_TYPE)
-def html_nodes(html: pa.Array) -> pa.Array:
-    """Node list of each page; only a few pages at a time are held as Python objects."""
+def _in_parts(html: pa.Array, tree: bool) -> pa.Array:
+    """Only a few pages at a time are held as Python objects."""
     few = 64
     starts = range(0, max(len(html), 1), few)
-    return pa.concat_arrays([_node_array(html.slice(i, few)) for i in starts])
+    return pa.concat_arrays([_node_array(html.slice(i, few), tree) for i in starts])
+
+
+@F.arrow_udf(NODE_TYPE)
+def html_nodes(html: pa.Array) -> pa.Array:
+    """Node list of each page; elements end where their end tags are."""
+    return _in_parts(html, False)
+
+
+@F.arrow_udf(NODE_TYPE)
+def html_tree_nodes(html: pa.Array) -> pa.Array:
+    """Node list of each page, with the ends that start tags imply."""
+    return _in_parts(html, True)
 
 
 # ---- Native selectors: a predicate is a function of a node. ----
@@ -182,13 +229,28 @@ def either(*preds):
     return test
 
 
-def within(outer: Column, n: Column) -> Column:
-    return (n["at"] > outer["at"]) & (n["at"] <= outer["last"])
+def _under(nodes: Column, outers: Column, pred) -> Column:
+    """Matches below the outer nodes, in document order, each once.
 
+    Each outer node's subtree is cut out and searched, so the work follows the subtrees and
+    not the number of pairs; nested outer nodes find a match twice, hence the distinct places.
+    """
+    def found(page: Column, outs: Column) -> Column:
+        before = F.get(page, F.lit(0))["at"] - 1
+        hits = F.flatten(F.transform(outs, lambda o: F.transform(
+            F.filter(F.slice(page, o["at"] + 1 - before, o["last"] - o["at"]), pred),
+            lambda n: n["at"])))
+        return F.transform(F.array_sort(F.array_distinct(hits)),
+                           lambda at: F.get(page, at - before - 1))
 
-def _under(nodes: Column, outers: Column, pred) -> Column:
-    return let(outers, lambda outs: F.filter(
-        nodes, lambda n: pred(n) & F.exists(outs, lambda o: within(o, n))))
+    return let(F.struct(nodes.alias("page"), outers.alias("outs")), lambda x: found(x["page"], x["outs"]))
+
+
+def nearest_above(nodes: Column, n: Column, pred) -> Column:
+    """The innermost element around `n` that matches; `nodes` must be the whole page."""
+    at = F.aggregate(F.sequence(F.lit(1), n["depth"]), n["parent"], lambda p, _: F.when(
+        (p > 0) & ~pred(F.get(nodes, p - 1)), F.get(nodes, p - 1)["parent"]).otherwise(p))
+    return F.when((n["depth"] > 0) & (at > 0), F.get(nodes, at - 1))
 
 
 def select(nodes: Column, *path) -> Column:
@@ -256,17 +318,14 @@ def other_classes(n: Column, own: str) -> Column:
         F.filter(F.split(F.trim(n["cls"]), " "), lambda c: (c != own) & (c != "")), "|"))
 
 
-def spread(df: DataFrame, bytes_per_core: int = 8 << 20) -> DataFrame:
-    """Give every core a share of a small input.
+def with_nodes(df: DataFrame, html: str = "html", into: str = "nodes",
+               partitions: int | None = None, tree: bool = False) -> DataFrame:
+    """Add the node list of every page.
 
-    Parsing costs far more than moving the bytes, and a small input may come as one split.
-    An input with enough bytes per core by the planner's estimate keeps its own splits.
+    Pages keep the partitions they come in. Parsing costs far more than moving the bytes, so a
+    small table that comes as one split gains from `partitions`. `tree` reads markup as
+    tree-building parsers do.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < cores * bytes_per_core else df
-
-
-def with_nodes(df: DataFrame, html: str = "html", into: str = "nodes") -> DataFrame:
-    """Add the node list of every page."""
-    return spread(df).withColumn(into, html_nodes(F.col(html)))
+    if partitions:
+        df = df.repartition(partitions)
+    return df.withColumn(into, (html_tree_nodes if tree else html_nodes)(F.col(html)))

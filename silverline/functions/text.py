@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
+from html.entities import html5
 
 from pyspark.sql import Column, functions as F
 
@@ -14,13 +16,16 @@ WHITESPACE = (
     "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
-# Named character references seen in catalog text; `&amp;` is resolved last.
-ENTITIES = {
-    "&nbsp;": "\xa0", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'",
-    "&ndash;": "–", "&mdash;": "—", "&lsquo;": "‘", "&rsquo;": "’", "&ldquo;": "“",
-    "&rdquo;": "”", "&hellip;": "…", "&bull;": "•", "&middot;": "·", "&deg;": "°",
-    "&reg;": "®", "&copy;": "©", "&trade;": "™", "&eacute;": "é", "&egrave;": "è",
-}
+# What Windows-1252 has at the codes of the C1 controls, where it has something.
+WINDOWS = {str(i): bytes([i]).decode("cp1252") for i in range(0x80, 0xA0)
+           if bytes([i]).decode("cp1252", "ignore")}
+
+# One character reference: decimal, hexadecimal, or a name.
+REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;?)"
+# Markup whose content goes too, and any other tag. A tag starts at `<` followed by a letter,
+# `/`, `!` or `?`; any other `<` is text.
+HIDDEN_MARKUP = r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>"
+TAG = r"""(?s)<[A-Za-z/!?](?:"[^"]*"|'[^']*'|[^'">])*>"""
 
 
 def _col(c) -> Column:
@@ -46,32 +51,48 @@ def contains_any(c, words) -> Column:
     return reduce(lambda a, b: a | b, [c.contains(w) for w in words])
 
 
-def _numeric_references(text: Column, pattern: str, prefix: str, base: int) -> Column:
-    codes = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
-    return F.aggregate(
-        codes, text,
-        lambda acc, n: F.coalesce(
-            F.replace(acc, F.concat(F.lit(prefix), n, F.lit(";")),
-                      F.decode(F.unhex(F.lpad(F.conv(n, base, 16), 8, "0")), "UTF-32")),
-            acc))
+def _lookup(table: dict[str, str]) -> Column:
+    """A constant map, parsed once when the plan is optimised."""
+    return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
+
+
+def _numeric(ref: Column) -> Column:
+    """The character of a numeric reference, by the rules of HTML.
+
+    Leading zeros do not count; codes that are no character become U+FFFD, and those of the
+    C1 controls what Windows-1252 has in their place.
+    """
+    hexadecimal = F.lower(F.substring(ref, 3, 1)) == "x"
+    digits = F.regexp_replace(F.regexp_replace(ref, "^&#[xX]?|;$", ""), "^0+", "")
+    code = F.when(F.length(digits).between(1, 7), F.when(hexadecimal, F.conv(digits, 16, 10))
+                  .otherwise(F.conv(digits, 10, 10)).cast("int"))
+    bad = code.isNull() | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+    old = F.when(code.between(0x80, 0x9F), F.element_at(_lookup(WINDOWS), code.cast("string")))
+    plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    return F.when(bad, "\ufffd").otherwise(F.coalesce(old, plain))
+
+
+def _resolved(ref: Column) -> Column:
+    named = F.element_at(_lookup(html5), F.substring(ref, 2, 64))
+    return F.when(ref.startswith("&#"), _numeric(ref)).otherwise(F.coalesce(named, ref))
 
 
 def _unescape(text: Column) -> Column:
-    decimal = _numeric_references(text, "&#([0-9]{1,7});", "&#", 10)
-    both = let(decimal, lambda t: _numeric_references(t, "&#x([0-9a-fA-F]{1,6});", "&#x", 16))
-    named = F.split(F.lit("\x02".join(f"{k}\x01{v}" for k, v in [*ENTITIES.items(), ("&amp;", "&")])), "\x02")
-    return F.aggregate(named, both, lambda acc, e: F.replace(
-        acc, F.substring_index(e, "\x01", 1), F.substring_index(e, "\x01", -1)))
+    """Each reference is resolved once; what it resolves to is text."""
+    refs = F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0))
+    between = F.split(text, REFERENCE, -1)
+    return F.array_join(F.zip_with(between, refs, lambda part, ref: F.concat(
+        part, F.when(ref.isNull(), "").otherwise(_resolved(ref)))), "")
 
 
 def unescape_entities(c) -> Column:
-    """Resolve character references: numeric, then named, then `&amp;`."""
+    """Resolve character references: all names of HTML, and numbers of any length."""
     return let(_col(c), lambda t: F.when(t.contains("&"), _unescape(t)).otherwise(t))
 
 
 def _strip_markup(text: Column) -> Column:
-    bare = unescape_entities(F.regexp_replace(text, r"(?s)<!--.*?-->|<[^>]*>", " "))
-    return F.when(text.contains("<") | text.contains("&"), bare).otherwise(text)
+    bare = F.regexp_replace(F.regexp_replace(text, HIDDEN_MARKUP, " "), TAG, " ")
+    return F.when(text.contains("<") | text.contains("&"), unescape_entities(bare)).otherwise(text)
 
 
 def clean_text(c, strip_tags: bool = False) -> Column:
@@ -92,19 +113,40 @@ def drop_fragment(c) -> Column:
     return F.substring_index(_col(c), "#", 1)
 
 
+def _without_dots(path: Column) -> Column:
+    """Fold `.` and `..` segments of an absolute path."""
+    none = F.array().cast("array<string>")
+    parts = F.slice(F.split(path, "/"), 2, 1 << 20)
+    last = F.element_at(parts, -1)
+    folded = F.aggregate(parts, none, lambda done, x: F.when(
+        x == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).when(
+        x == ".", done).otherwise(F.concat(done, F.array(x))))
+    return F.concat(F.lit("/"), F.array_join(folded, "/"),
+                    F.when(last.isin(".", "..") & (F.size(folded) > 0), "/").otherwise(""))
+
+
+def _resolve(url: Column) -> Column:
+    """Fold the dot segments of an absolute URL's path; query and fragment stay."""
+    head = F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    rest = F.regexp_extract(url, r"([?#].*)$", 1)
+    return F.when((head != "") & path.rlike(r"/\.{1,2}(/|$)"),
+                  F.concat(head, let(path, _without_dots), rest)).otherwise(url)
+
+
 def absolute_url(c, base: str, resolve: bool = False) -> Column:
-    """`//x` gets a scheme, `/x` the base; `resolve` also joins plain relative paths."""
+    """`//x` gets a scheme, `/x` the base; `resolve` also joins plain relative paths and folds
+    dot segments. `base` is a scheme and host, with or without a path."""
     c = blank_to_null(strip(c))
     root = base.rstrip("/")
     out = F.when(c.startswith("//"), F.concat(F.lit("https:"), c)).when(
         c.startswith("/"), F.concat(F.lit(root), c))
     if resolve:
-        relative = F.regexp_replace(c, r"^(?:\.{1,2}/)+", "")
         out = (
             out.when(c.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), c)
             .when(c.rlike(r"^[?#]"), F.concat(F.lit(root), c))
-            .otherwise(F.concat(F.lit(root + "/"), relative)))
-        return out
+            .otherwise(F.concat(F.lit(root + "/"), c)))
+        return let(out, _resolve)
     return out.otherwise(c)
 
 

@@ -29,6 +29,8 @@ def fk_filter(fact: DataFrame, dims: Dims, mode: str = "inner") -> DataFrame:
 def fk_orphans(fact: DataFrame, dims: Dims) -> DataFrame:
     """The rows `fk_filter` discards, null keys included, in one pass over the fact."""
     columns = fact.columns
+    keyed = reduce(lambda a, b: a & b, [F.col(key).isNotNull() for _, key in dims])
+    nulls, fact = fact.filter(~keyed), fact.filter(keyed)  # null keys would all meet in one task
     marks = []
     for i, (dim, key) in enumerate(dims):
         mark = f"_known_{i}"
@@ -36,12 +38,13 @@ def fk_orphans(fact: DataFrame, dims: Dims) -> DataFrame:
         known = dim.select(key).filter(F.col(key).isNotNull()).distinct()
         fact = fact.join(known.withColumn(mark, F.lit(True)), key, "left")
     missing = reduce(lambda a, b: a | b, [F.col(m).isNull() for m in marks])
-    return fact.filter(missing).select(*columns)
+    return fact.filter(missing).select(*columns).union(nulls)
 
 
 def skip_done(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:
-    """Resume: drop keys already processed."""
-    return todo.join(done.select(key), key, "left_anti")
+    """Resume: drop keys already processed. A null key is never known, and skips the join."""
+    nulls, keyed = todo.filter(F.col(key).isNull()), todo.filter(F.col(key).isNotNull())
+    return keyed.join(done.select(key), key, "left_anti").union(nulls)
 
 
 def canonical_lookup(df: DataFrame, column: str, lookup: DataFrame, into: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from silverline.functions import fixed, jsonld, lists as ls, text as t
 from silverline.functions.nodes import (
     TEXT, attr, attr_has, attr_is, both, cls, cls_like, either, first_of, first_text, inside,
-    joined_text, other_classes, raw_text, select, select_one, tag, text_of)
+    joined_text, nearest_above, other_classes, raw_text, select, select_one, tag, text_of)
 from silverline.functions.text import let
 
 
@@ -33,27 +33,25 @@ def _low(c: Column) -> Column:
 def extract_elements(pages: DataFrame, key: str, rules: dict[str, tuple], nodes: str = "nodes") -> DataFrame:
     """Long table (key, rule, at, value, value_raw) of every match of the named paths."""
     page = F.col(nodes)
-    found = [F.transform(select(page, *path), lambda n: F.struct(n["at"].alias("at"), n["last"].alias("last")))
-             for path in rules.values()]
-    tagged = F.flatten(F.array(*[
-        _tagged(name, hits) for name, hits in zip(rules, found)]))
-    rows = pages.select(key, nodes, F.explode(tagged).alias("e"))
-    body = F.slice(F.col(nodes), F.col("e.at") + 1, F.col("e.last") - F.col("e.at"))
-    return rows.select(key, F.col("e.rule").alias("rule"), F.col("e.at").alias("at"),
-                       joined_text(body).alias("value"), raw_text(body).alias("value_raw"))
 
+    def matches(name: str, path: tuple) -> Column:
+        return F.transform(select(page, *path), lambda n: let(inside(page, n), lambda sub: F.struct(
+            F.lit(name).alias("rule"), n["at"].alias("at"), joined_text(sub).alias("value"),
+            raw_text(sub).alias("value_raw"))))
 
-def _tagged(name: str, hits: Column) -> Column:
-    return F.transform(hits, lambda h: F.struct(
-        F.lit(name).alias("rule"), h["at"].alias("at"), h["last"].alias("last")))
+    found = F.flatten(F.array(*[matches(name, path) for name, path in rules.items()]))
+    return pages.select(key, F.explode(found).alias("e")).select(key, "e.*")
 
 
-def extract_links(pages: DataFrame, key: str, html: str, base: str, part: str = "") -> DataFrame:
-    """Distinct (key, absolute fragment-free link) whose href contains `part`. No Python."""
-    href = F.explode(F.regexp_extract_all(F.col(html), F.lit(r'<a\s[^>]*href="([^"]*)"'), F.lit(1)))
-    links = pages.select(key, href.alias("href")).filter(F.col("href").contains(part))
-    url = t.drop_fragment(t.absolute_url(t.unescape_entities("href"), base, resolve=True))
-    return links.select(key, url.alias("link")).filter("link is not null").distinct()
+def extract_links(pages: DataFrame, key: str, base: str, part: str = "", nodes: str = "nodes") -> DataFrame:
+    """Distinct (key, absolute fragment-free link) of the anchors whose href contains `part`.
+
+    Distinct within a page, which is one row: nothing is shuffled.
+    """
+    hrefs = F.transform(select(F.col(nodes), both(tag("a"), attr_has("href", part))),
+                        lambda n: t.drop_fragment(t.absolute_url(attr(n, "href"), base, resolve=True)))
+    links = F.array_distinct(F.filter(hrefs, lambda u: u.isNotNull()))
+    return pages.select(key, F.explode(links).alias("link"))
 
 
 def listing_cards(nodes: Column, base: str) -> Column:
@@ -99,13 +97,9 @@ def dictionary_rows(nodes: Column, base: str, prefix: str) -> Column:
             _field(body, nodes, cls_like(fixed.LIST_DESCRIPTION_CLASS)).alias("short_description"),
             e["url"].alias("ingredient_url"))
 
-    def nearest(rows: Column, link: Column) -> Column:
-        return F.try_element_at(
-            F.filter(rows, lambda r: (r["at"] < link["at"]) & (r["last"] >= link["at"])), F.lit(-1))
-
     links = select(nodes, both(tag("a"), attr_has("href", fixed.DICTIONARY_LINK)))
-    return let(select(nodes, tag("tr")), lambda rows: F.transform(
-        links, lambda link: let(nearest(rows, link), lambda row: described(link, row))))
+    return F.transform(links, lambda link: let(
+        nearest_above(nodes, link, tag("tr")), lambda row: described(link, row)))
 
 
 # ---- Product page sections ----
@@ -400,7 +394,7 @@ def page_reject(nodes: Column, product: Column, brand: Column, image: Column) ->
     crumbs = F.lower(F.array_join(_texts(nodes, select(nodes, cls("breadcrumbs"), tag("a")), raw=True), " "))
     title = first_text(nodes, tag("h1"), raw=True)
     seen_brand = F.coalesce(t.blank_to_null(jsonld.brand_of(product)), brand)
-    seen_image = F.coalesce(t.blank_to_null(jsonld.image_of(product)), image)
+    seen_image = F.coalesce(t.blank_to_null(jsonld.image_text(product)), image)
     return [
         ("hidden_brand", _low(seen_brand) == "hidden"),
         ("ingredient_example_image", _low(seen_image).contains("ingredient_example")),

@@ -10,10 +10,10 @@ from silverline.operators import pages as pg
 from silverline.operators.columns import project_fields, stamp_batch, valid_for_saving
 from silverline.operators.quality import validate_record
 
-def parse_ingredient_pages(pages: DataFrame) -> DataFrame:
+def parse_ingredient_pages(pages: DataFrame, partitions: int | None = None) -> DataFrame:
     """Adds the fields found on each page; `pages` has url and html."""
     n, m = F.col("nodes"), F.col("content")
-    df = with_nodes(pages).withColumn("content", pg.main_content(n))
+    df = with_nodes(pages, partitions=partitions).withColumn("content", pg.main_content(n))
     df = df.withColumns({
         "raw_ingredient_name": _title(n, m),
         "rating": t.normalize_rating(pg.labelled_value(n, m, "Rating:", ["div", "span"])),
@@ -37,8 +37,9 @@ def _title(nodes, content):
 
 
 def build_ingredient_dictionary(pages: DataFrame, batch_id: str, source: str, source_url: str,
-                                ts: str, version: str = "v1") -> DataFrame:
-    parsed = parse_ingredient_pages(pages).withColumn("ingredient_url", F.col("url"))
+                                ts: str, version: str = "v1",
+                                partitions: int | None = None) -> DataFrame:
+    parsed = parse_ingredient_pages(pages, partitions).withColumn("ingredient_url", F.col("url"))
     stamped = stamp_batch(parsed, batch_id, source, version, ts).withColumns({
         "record_id": t.record_id("ingredient_url", f"{source}_ingredient"),
         "source_type": F.lit("website"), "source_url": F.lit(source_url),

@@ -60,13 +60,14 @@ def _merge_run(run: Column) -> Column:
         head["source"].alias("source"), head["seq"].alias("seq"), row.alias("row")))
 
 
-def page_records(pages: DataFrame, base: str, source: str, min_body: int = 501) -> DataFrame:
+def page_records(pages: DataFrame, base: str, source: str, min_body: int = fixed.MIN_BODY_LENGTH + 1,
+                 partitions: int | None = None) -> DataFrame:
     """One compact row per page: product columns, its ingredient list, or a reject reason.
 
     `pages` has page_id, url, html, and optionally collected_at and listing-card columns.
     """
     df = ensure_columns(ensure_columns(pages, CARD), ["collected_at"], "timestamp")
-    df = with_nodes(df).withColumn("objects", jsonld.jsonld_objects("html"))
+    df = with_nodes(df, partitions=partitions).withColumn("objects", jsonld.jsonld_objects("nodes"))
     n = F.col("nodes")
     df = df.withColumns({"product_json": jsonld.jsonld_pick(F.col("objects"), "Product"),
                          "crumbs": jsonld.jsonld_breadcrumb(F.col("objects"))})
@@ -128,8 +129,9 @@ def entity_tables(records: DataFrame) -> dict[str, DataFrame]:
 
 
 def build_entities(spark: SparkSession, pages: DataFrame, base: str, source: str,
-                   records_path: str | None = None, min_body: int = 501) -> dict[str, DataFrame]:
+                   records_path: str | None = None, min_body: int = fixed.MIN_BODY_LENGTH + 1,
+                   partitions: int | None = None) -> dict[str, DataFrame]:
     """Extract once into a stored record table, then derive the five tables from it."""
     path = records_path or fresh_path(spark, "page-records")
-    page_records(pages, base, source, min_body).write.mode("overwrite").parquet(path)
+    page_records(pages, base, source, min_body, partitions).write.mode("overwrite").parquet(path)
     return entity_tables(spark.read.parquet(path))

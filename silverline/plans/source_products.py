@@ -23,9 +23,10 @@ IGNORED = ["sale_price", "raw_file_path"]
 
 
 def build_source_products(pages: DataFrame, batch_id: str, source: str, source_url: str, ts: str,
-                          ignore: list[str] = IGNORED, version: str = "v1") -> DataFrame:
+                          ignore: list[str] = IGNORED, version: str = "v1",
+                          partitions: int | None = None) -> DataFrame:
     n = F.col("nodes")
-    df = with_nodes(pages).withColumns({
+    df = with_nodes(pages, partitions=partitions, tree=True).withColumns({
         "sections": pg.labelled_sections(n), "rated": pg.rating_cascade(n, F.col("html")),
         "source_product_id": pg.sku(n),
         "product_name": first_text(n, both(tag("h1"), attr_is("id", "product-title"))),

@@ -27,7 +27,7 @@ def _(d):
     rows = d.customer.select("c_custkey", name.alias("c_name"),
                              F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment")).alias("c_mktsegment"))
     wr.write_csv(rows, path)
-    return rd.read_csv_strings(d.spark, path)
+    return rd.read_csv_strings(d.spark, path, multi_line=True)
 
 
 @query("csv_typed_round_trip", "SELECT p_partkey, p_name, p_size, p_retailprice FROM part")
@@ -114,7 +114,7 @@ def _(d):
 @query("parquet_round_trip", "SELECT * FROM part")
 def _(d):
     path = fresh_path(d.spark, "parquet")
-    wr.write_parquet(d.part.limit(1), path)
+    wr.write_parquet(d.part.withColumn("p_name", F.lit("old")), path)
     return d.spark.read.parquet(wr.write_parquet(d.part, path))
 
 

@@ -9,7 +9,7 @@ from silverline.operators import quality as q
 from silverline.operators.aggregates import row_audit
 from silverline.plans import bronze_to_silver as b2s
 from silverline.plans.dictionary import build_ingredient_dictionary
-from silverline.plans.entities import build_entities, entity_tables
+from silverline.plans.entities import build_entities
 from silverline.plans.features import recommendation_features
 from silverline.plans.source_products import build_source_products
 from silverline.queries.files import FETCH_SQL, fetch_log
@@ -107,11 +107,13 @@ def _(d):
 
 def _product_pages(d):
     k, s = F.col("p_partkey"), F.col("p_size")
+    sample = script(obj(type="Product", image=F.array(F.lit("https://i.example.com/a.png"),
+                                                      F.lit("/files/Ingredient_Example.png"))))
     listed = obj(type="ItemList", name="INCI", itemListElement=F.array(
         F.struct(F.lit(None).cast("int").alias("position"), F.col("p_type").alias("name")),
         F.struct(F.lit(2).alias("position"), F.lower("p_brand").alias("name"))))
     body = html(
-        script(listed), '<h1 class="product__title">', F.when(k % 9 != 0, F.col("p_name")), "</h1>",
+        script(listed), F.when(k % 17 == 0, sample), '<h1 class="product__title">', F.when(k % 9 != 0, F.col("p_name")), "</h1>",
         '<meta itemprop="brand" content="', F.when(k % 10 == 0, "Hidden").otherwise(F.col("p_brand")), '">',
         '<section id="pp-overview"><p class="pp-subtitle">A soothing ', F.col("p_name"), "</p></section>",
         '<b class="product__price">$', s, '.25</b><div class="pp-scorecard"><div class="item"><i class="lbl">Fungal</i><i class="val">',
@@ -122,20 +124,12 @@ def _product_pages(d):
                          F.when(k % 8 != 0, body).alias("html"))
 
 
-_records: dict[tuple[str, str], str] = {}
-
-
 def _entities(d):
-    """The five tables; the pages of one folder are extracted once per application."""
-    key = (d.spark.sparkContext.applicationId, d.folder)
-    if key not in _records:
-        path = fresh_path(d.spark, "page-records")
-        build_entities(d.spark, _product_pages(d), BASE, "shop", path, min_body=1)
-        _records[key] = path
-    return entity_tables(d.spark.read.parquet(_records[key]))
+    cores = d.spark.sparkContext.defaultParallelism
+    return build_entities(d.spark, _product_pages(d), BASE, "shop", min_body=1, partitions=cores)
 
 
-_VALID = "FROM part WHERE p_partkey % 8 <> 0 AND p_partkey % 10 <> 0 AND p_partkey % 9 <> 0"
+_VALID = "FROM part WHERE p_partkey % 8 <> 0 AND p_partkey % 10 <> 0 AND p_partkey % 9 <> 0 AND p_partkey % 17 <> 0"
 _PID = "md5('https://shop.example.com/p/' || p_partkey)"
 
 
@@ -176,8 +170,9 @@ def _(d):
 
 @query("entity_rejected", """
 SELECT p_partkey AS page_id, 'https://shop.example.com/p/' || p_partkey AS product_url,
-  CASE WHEN p_partkey % 8 = 0 THEN 'failed_fetch' WHEN p_partkey % 10 = 0 THEN 'hidden_brand' ELSE 'no_product_title' END AS reason
-FROM part WHERE p_partkey % 8 = 0 OR p_partkey % 10 = 0 OR p_partkey % 9 = 0""")
+  CASE WHEN p_partkey % 8 = 0 THEN 'failed_fetch' WHEN p_partkey % 10 = 0 THEN 'hidden_brand'
+  WHEN p_partkey % 17 = 0 THEN 'ingredient_example_image' ELSE 'no_product_title' END AS reason
+FROM part WHERE p_partkey % 8 = 0 OR p_partkey % 10 = 0 OR p_partkey % 9 = 0 OR p_partkey % 17 = 0""")
 def _(d):
     return _entities(d)["rejected"]
 
@@ -197,14 +192,15 @@ def _(d):
     text = F.when(k % 3 != 0, html("<h2>Description</h2><div><p>About ", name, "</p></div>"))
     pages = d.supplier.select(html(BASE + "/i/", k).alias("url"), html(
         "<body><main><h1> ", name, "</h1><span>Rating: good</span><div>Benefits: <a>Calm</a></div>", text, "</main></body>").alias("html"))
-    out = build_ingredient_dictionary(pages, "20260518_111454", "third", BASE, "2026-05-18T11:14:54")
+    out = build_ingredient_dictionary(pages, "20260518_111454", "third", BASE, "2026-05-18T11:14:54",
+                                      partitions=d.spark.sparkContext.defaultParallelism)
     return out.select("record_id", "ingredient_url", "raw_ingredient_name", "canonical_ingredient_name", "rating",
                       "full_description", "extraction_status", F.array_join("missing_fields", ",").alias("missing_fields"))
 
 
 @query("source_products", """
 SELECT cast(p_partkey AS varchar) AS record_id, 'https://shop.example.com/p/' || p_partkey AS product_url,
-  p_name AS product_name, p_brand AS brand_name, '$' || p_size AS price, p_type || '|' || p_brand AS raw_ingredients_list,
+  p_name AS product_name, p_brand AS brand_name, '$' || p_size AS price, p_type || '|' || p_brand || '.' AS raw_ingredients_list,
   'partial' AS extraction_status, 'raw_category,product_description,rating,review_count,size,image_url,availability,' ||
   'skin_type_claims,skin_concern_claims,product_highlights,usage_instructions' AS missing_fields FROM part""")
 def _(d):
@@ -213,10 +209,11 @@ def _(d):
         '<h1 id="product-title">', F.col("p_name"), '</h1><a class="override-pdp-brand">', F.col("p_brand"),
         '</a><i id="product-price">$', F.col("p_size"), '</i><i id="view-item-container" data-track-push="', k,
         '"></i><button data-tracking-push aria-controls="c">Ingredients</button><div id="c"><p class="attribute-content">',
-        F.col("p_type"), ", , ", F.col("p_brand"), ". For the latest information</p></div>").alias("html"))
-    out = build_source_products(pages, "b", "second", BASE, "2026-05-18T11:14:54")
+        F.col("p_type"), ", , ", F.col("p_brand"), ". For the latest information<p>Another note<li>a<li>b</div>").alias("html"))
+    out = build_source_products(pages, "b", "second", BASE, "2026-05-18T11:14:54",
+                                partitions=d.spark.sparkContext.defaultParallelism)
     return out.select("record_id", "product_url", "product_name", "brand_name", "price",
-                      F.array_join(F.transform("raw_ingredients_list", lambda x: F.rtrim(x, F.lit("."))), "|").alias("raw_ingredients_list"),
+                      F.array_join("raw_ingredients_list", "|").alias("raw_ingredients_list"),
                       "extraction_status", F.array_join("missing_fields", ",").alias("missing_fields"))
 
 

@@ -19,8 +19,13 @@ def html(*parts) -> Column:
                       for p in parts])
 
 
+def parsed(df):
+    """Nodes of pages that come as one small split: every core gets a share."""
+    return with_nodes(df, partitions=df.sparkSession.sparkContext.defaultParallelism)
+
+
 def built(df, key: str, *parts):
-    return with_nodes(df.select(key, html(*parts).alias("html")))
+    return parsed(df.select(key, html(*parts).alias("html")))
 
 
 def script(body: Column) -> Column:
@@ -48,7 +53,21 @@ def _product_page(d):
             .when(k % 4 == 1, html("[", other, ",", listed, ",", product, "]"))
             .when(k % 4 == 2, product).otherwise(html("{bad ", other)))
     page = html("<html>", script(body), "<p>x</p>", script(other), "</html>")
-    return d.part.select("p_partkey", jsonld.jsonld_objects(page).alias("objects"))
+    return built(d.part, "p_partkey", page).select("p_partkey", jsonld.jsonld_objects("nodes").alias("objects"))
+
+
+@query("jsonld_script_forms", """
+SELECT p_partkey, CASE p_partkey % 5 WHEN 3 THEN '' WHEN 4 THEN p_name ELSE p_brand END AS names FROM part""")
+def _(d):
+    k = F.col("p_partkey")
+    own, other = obj(name=F.col("p_brand")), obj(name=F.col("p_name"))
+    page = (F.when(k % 5 == 0, html("<script type=application/ld+json>", own, "</script>"))
+            .when(k % 5 == 1, html("<SCRIPT ID='x' TYPE=' Application/LD+JSON '>", own, "</SCRIPT >"))
+            .when(k % 5 == 2, html("<script>var a = '<b>';</script><script async type='application/ld+json'>", own, "</script>"))
+            .when(k % 5 == 3, html("<!-- ", script(own), " --><script type='text/ld+json'>", own, "</script>"))
+            .otherwise(html(script(F.lit("{bad")), script(other))))
+    names = F.transform(jsonld.jsonld_objects("nodes"), lambda o: F.try_variant_get(o, "$.name", "string"))
+    return built(d.part, "p_partkey", page).select("p_partkey", F.array_join(names, "|").alias("names"))
 
 
 @query("jsonld_objects", """
@@ -74,8 +93,8 @@ FROM n WHERE trim(regexp_replace(regexp_replace(line, '<[^>]*>', ' ', 'g'), '[\s
 def _(d):
     items = F.transform(F.split("text", "\n"), lambda x, i: F.struct((i + 1).alias("position"), x.alias("name")))
     page = script(obj(type="ItemList", name=" INCI list", itemListElement=items))
-    rows = d.documents.select("doc_id", F.explode(
-        jsonld.jsonld_item_list(jsonld.jsonld_objects(page))).alias("r"))
+    rows = built(d.documents, "doc_id", page).select("doc_id", F.explode(
+        jsonld.jsonld_item_list(jsonld.jsonld_objects("nodes"))).alias("r"))
     return rows.select("doc_id", "r.position", "r.name")
 
 
@@ -89,8 +108,8 @@ def _(d):
                 script(obj(type="BreadcrumbList", itemListElement=F.array(item("c_name", 1)))))
     df = d.customer.join(d.nation, F.col("n_nationkey") == F.col("c_nationkey")).join(
         d.region, F.col("r_regionkey") == F.col("n_regionkey"))
-    names = jsonld.jsonld_breadcrumb(jsonld.jsonld_objects(page))
-    return df.select("c_custkey", F.array_join(names, "|").alias("crumbs"))
+    names = jsonld.jsonld_breadcrumb(jsonld.jsonld_objects("nodes"))
+    return built(df, "c_custkey", page).select("c_custkey", F.array_join(names, "|").alias("crumbs"))
 
 
 @query("jsonld_poly_fields", """
@@ -146,13 +165,13 @@ UNION ALL SELECT page_id, 'h1', {_TEXT.format("regexp_extract(html, '(?s)<h1>(.*
 UNION ALL SELECT page_id, 'nav', {_TEXT.format("unnest(regexp_extract_all(html, '<li><a href=[^>]*>([^<]*)</a>', 1))")} FROM pages""")
 def _(d):
     rules = {"title": (tag("title"),), "h1": (tag("h1"),), "nav": (tag("nav"), tag("li"), tag("a"))}
-    return pg.extract_elements(with_nodes(d.pages), "page_id", rules).select("page_id", "rule", "value")
+    return pg.extract_elements(parsed(d.pages), "page_id", rules).select("page_id", "rule", "value")
 
 
 @query("first_text", f"""
 SELECT page_id, {_TEXT.format("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)")} AS name FROM pages""")
 def _(d):
-    return with_nodes(d.pages).select("page_id", first_text(
+    return parsed(d.pages).select("page_id", first_text(
         F.col("nodes"), (tag("article"), tag("h6")), tag("h1"), tag("title")).alias("name"))
 
 
@@ -160,13 +179,32 @@ def _(d):
 SELECT DISTINCT page_id, CASE WHEN href LIKE '/%' THEN 'https://shop.example.com' || href ELSE href END AS link FROM (
   SELECT page_id, regexp_replace(unnest(regexp_extract_all(html, '<a\s[^>]*href="([^"]*)"', 1)), '#.*$', '') AS href FROM pages)""")
 def _(d):
-    return pg.extract_links(d.pages, "page_id", "html", BASE)
+    return pg.extract_links(parsed(d.pages), "page_id", BASE)
+
+
+_FORMS = {"double": "https://shop.example.com/d/{k}", "single": "https://shop.example.com/s/{k}?a=1&b=2",
+          "bare": "https://shop.example.com/b/{k}", "upper": "https://shop.example.com/u/{k}",
+          "dots": "https://shop.example.com/x/z/{k}", "up": "https://shop.example.com/r/{k}/",
+          "away": "https://other.example.com/a/{k}"}
+
+
+@query("extract_link_forms", " UNION ALL ".join(
+    f"SELECT s_suppkey, replace('{url}', '{{k}}', s_suppkey::VARCHAR) AS link FROM supplier" for url in _FORMS.values()))
+def _(d):
+    """Every way to write an anchor; the answer is known from how the page is built."""
+    k = F.col("s_suppkey")
+    pages = built(
+        d.supplier, "s_suppkey", '<p><a class="c" href="/d/', k, '#top">1</a><a href = "/d/', k, '">again</a>',
+        "<a href='/s/", k, "?a=1&amp;b=2'>2</a><a href=/b/", k, ">3</a><A HREF='/u/", k, "'>4</A>",
+        '<!-- <a href="/gone/', k, '">5</a> --><a name="x">6</a><a href="/x/y/../z/./', k, '">7</a><a href="../r/q/../',
+        k, '/.">8</a><a href="//other.example.com/a/', k, '">9</a><script>"<a href=\'/no\'>"</script></p>')
+    return pg.extract_links(pages, "s_suppkey", BASE)
 
 
 @query("main_content", r"""
 SELECT page_id, len(regexp_extract_all(html, '<a\s')) AS links_in_body, 1 AS headings FROM pages""")
 def _(d):
-    return with_nodes(d.pages).select("page_id", pg.main_content(F.col("nodes")).alias("m")).select(
+    return parsed(d.pages).select("page_id", pg.main_content(F.col("nodes")).alias("m")).select(
         "page_id", F.size(F.filter("m", lambda n: n["tag"] == "a")).alias("links_in_body"),
         F.size(F.filter("m", lambda n: n["tag"] == "h1")).alias("headings"))
 
@@ -314,7 +352,7 @@ def _(d):
                                         stat("reviews", n), "</div>")),
                 F.when(n % 3 == 0, '<div class="pp-title"><span class="num">115+ REVIEWS</span></div>'))
     keys = ["l_orderkey", "l_linenumber", "l_partkey"]
-    pages = with_nodes(d.lineitem.select(*keys, page.alias("html")))
+    pages = parsed(d.lineitem.select(*keys, page.alias("html")))
     return unwrap(pages.select(*keys, pg.ratings(F.col("nodes")).alias("x")), "x", *keys)
 
 
@@ -384,7 +422,7 @@ def _(d):
         '<b class="product__price">now $', s, '.0 each</b><section id="pp-overview"><p class="pp-subtitle">', F.col("p_brand"),
         " about</p></section>")
     pages = built(d.part, "p_partkey", F.when(k % 3 == 0, product).when(k % 3 == 1, plain))
-    objects = jsonld.jsonld_objects("html")
+    objects = jsonld.jsonld_objects("nodes")
     meta = pg.product_meta(F.col("nodes"), jsonld.jsonld_pick(objects, "Product"), jsonld.jsonld_breadcrumb(objects),
                            BASE, {"product_name": F.lit("card")})
     return unwrap(pages.select("p_partkey", meta.alias("x")), "x", "p_partkey")
@@ -448,7 +486,7 @@ def _detail(d):
     name = F.col("s_name")
     benefits = F.when(k % 2 == 0, html("<div><b>Benefits:</b> <a>Soothing</a>, <a>", name, "</a><a>soothing</a></div>")).otherwise(
         html("<div>BENEFITS: Calm, ", name, ", ,calm</div>"))
-    return with_nodes(d.supplier.select("s_suppkey", html(
+    return parsed(d.supplier.select("s_suppkey", html(
         "<body><div>Rating: outside</div><main><h1>", name, "</h1><div>x<span> Rating: ", F.col("s_nationkey"), " best</span>", benefits,
         "</div><h2>", name, " at a glance</h2><p>t</p><div><ul><li>AKA ", name, "</li><li> </li><li>aka ", name, "</li></ul><ul><li>no</li></ul></div>",
         '<h3>Full Description</h3><div>skip</div><div class="a IngredientPagestyles__Description-b"><p>One ', name, "</p><p> </p><p>Two</p></div>",

@@ -8,9 +8,10 @@ from pyspark.sql import types as T
 from silverline.functions.text import strip
 from silverline.operators.columns import require_columns
 from silverline.operators.keyed import keep_first
+from silverline.sources.folders import list_folders
 
-# Quoted cells may hold doubled quotes, commas and line breaks.
-_CSV = {"header": True, "multiLine": True, "escape": '"'}
+# Quoted cells may hold doubled quotes and commas, and line breaks where asked for.
+_CSV = {"header": True, "escape": '"'}
 ZONE = ["source", "entity", "ingestion_date", "batch_id"]
 
 
@@ -19,16 +20,17 @@ def all_strings(names: list[str]) -> T.StructType:
 
 
 def read_csv_strings(spark: SparkSession, path: str, columns: list[str] | None = None,
-                     multi_line: bool = True) -> DataFrame:
-    """Every column STRING. Files known to have one row per line can be split with
-    `multi_line=False`; otherwise one file is one task, so keep many files."""
+                     multi_line: bool = False) -> DataFrame:
+    """Every column STRING. A file is split, one row per line; with line breaks inside cells
+    (`multi_line`) one file is one task, so keep many files. Naming the columns saves a look
+    at the header."""
     reader = spark.read.options(**{**_CSV, "multiLine": multi_line})
     if columns:
         reader = reader.schema(all_strings(columns))
     return reader.csv(path)
 
 
-def read_csv_typed(spark: SparkSession, path: str, schema, multi_line: bool = True) -> DataFrame:
+def read_csv_typed(spark: SparkSession, path: str, schema, multi_line: bool = False) -> DataFrame:
     return spark.read.options(**{**_CSV, "multiLine": multi_line}).schema(schema).csv(path)
 
 
@@ -40,8 +42,8 @@ def key_list(df: DataFrame, column: str, order: list[str], limit: int | None = N
 
 
 def read_key_list(spark: SparkSession, path: str, column: str, order: list[str],
-                  limit: int | None = None) -> DataFrame:
-    return key_list(read_csv_strings(spark, path), column, order, limit)
+                  limit: int | None = None, multi_line: bool = False) -> DataFrame:
+    return key_list(read_csv_strings(spark, path, multi_line=multi_line), column, order, limit)
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -51,20 +53,29 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumns({c: F.lit(None).cast(k) for c, k in extra.items() if c not in df.columns})
 
 
+def _newest_batch(spark: SparkSession, folder: str) -> str | None:
+    """The greatest batch of the newest date; only directory names are looked at."""
+    for day in sorted(list_folders(spark, f"{folder}/ingestion_date=*"), reverse=True):
+        batches = list_folders(spark, f"{day}/batch_id=*")
+        if batches:
+            return max(b.rsplit("batch_id=", 1)[1] for b in batches)
+    return None
+
+
 def read_raw_zone(spark: SparkSession, base: str, schema, source: str, entity: str,
                   batch: str = "latest") -> DataFrame:
-    """One batch of the raw zone.
+    """One batch of the raw zone: only its directories are read.
 
-    Only the source's and entity's folders are listed, and only the batch's files are read;
-    finding the newest batch looks at no column, just at partition values.
+    The newest batch is found by listing directories, newest date first, not by opening files.
     """
     full = T.StructType(list(schema.fields)
                         + [T.StructField(c, T.StringType()) for c in ZONE if c not in schema.names])
-    zone = spark.read.schema(full).option("basePath", base).parquet(
-        f"{base}/source={source}/entity={entity}")
-    if batch == "latest":
-        batch = zone.agg(F.max("batch_id")).first()[0]
-    return zone.filter(F.col("batch_id") == batch)
+    folder = f"{base}/source={source}/entity={entity}"
+    batch = _newest_batch(spark, folder) if batch == "latest" else batch
+    paths = list_folders(spark, f"{folder}/ingestion_date=*/batch_id={batch}") if batch else []
+    if not paths:
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).option("basePath", base).parquet(*paths)
 
 
 def read_jsonl(spark: SparkSession, path: str, schema) -> DataFrame:

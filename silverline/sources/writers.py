@@ -17,8 +17,12 @@ def write_parquet(df: DataFrame, path: str) -> str:
 
 
 def write_partitioned(df: DataFrame, base: str, cols: list[str] = ZONE) -> str:
-    """Hive layout; only the partitions present in the frame are replaced."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Hive layout; only the partitions present in the frame are replaced.
+
+    Rows are brought together by partition first, and adaptive execution splits large ones, so
+    the number of files follows the data and not the tasks.
+    """
+    (df.hint("rebalance", *cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*cols).parquet(base))
     return base
 

@@ -24,6 +24,7 @@ from pyspark.sql.types import StructType
 
 from silverline.operators.joins import skip_done
 from silverline.operators.keyed import keep_first, keep_last
+from silverline.sources.folders import list_folders
 
 BUCKETS = 16
 _PLACE = "run string, started long, batch long, bucket int"
@@ -40,13 +41,6 @@ def incremental_append(source: DataFrame, sink: str, checkpoint: str) -> Streami
             .trigger(availableNow=True).start())
 
 
-def list_folders(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths that match a pattern, in any store Spark reads."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return sorted(s.getPath().toString() for s in found or [])
-
-
 def _bucket(keys: list[str]) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
 
