@@ -62,6 +62,17 @@ def classify_fetch(df: DataFrame, status: str, body_length: str, min_body: int =
         "status", F.when(F.col("error_type").isNull(), "ok").otherwise("failed_fetch"))
 
 
+def unread(nodes: Column) -> Column:
+    """Error type of a page without nodes."""
+    return F.when(nodes.isNull(), "ParseError")
+
+
+def mark_failed(df: DataFrame) -> DataFrame:
+    """Records with an error are failed, whatever fields they lack."""
+    return df.withColumn("extraction_status", F.when(
+        F.col("error_type").isNotNull(), "failed").otherwise(F.col("extraction_status")))
+
+
 def run_log(df: DataFrame, key: str) -> DataFrame:
     """One log row per key; fields the run did not produce are null."""
     fields = {"status": "string", "http_status": "int", "attempts": "bigint",

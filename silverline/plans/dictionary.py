@@ -8,7 +8,7 @@ from silverline.functions import fixed, lists as ls, text as t
 from silverline.functions.nodes import with_nodes
 from silverline.operators import pages as pg
 from silverline.operators.columns import project_fields, stamp_batch, valid_for_saving
-from silverline.operators.quality import validate_record
+from silverline.operators.quality import mark_failed, unread, validate_record
 
 def parse_ingredient_pages(pages: DataFrame, partitions: int | None = None) -> DataFrame:
     """Adds the fields found on each page; `pages` has url and html."""
@@ -21,7 +21,8 @@ def parse_ingredient_pages(pages: DataFrame, partitions: int | None = None) -> D
         "ingredient_categories": pg.label_row_values(n, m, "Categories"),
         "at_a_glance_points": pg.heading_list(n, m, "at a glance"),
         "full_description": pg.heading_paragraphs(n, m, "description", fixed.DESCRIPTION_CLASS),
-        "related_ingredients": pg.related_items(n, m)}).drop("nodes", "content")
+        "related_ingredients": pg.related_items(n, m),
+        "error_type": unread(n)}).drop("nodes", "content")
     name = t.normalize_name("raw_ingredient_name")
     return df.withColumns({
         "synonyms": ls.synonyms("at_a_glance_points", "full_description", "raw_ingredient_name"),
@@ -38,7 +39,9 @@ def _title(nodes, content):
 
 def build_ingredient_dictionary(pages: DataFrame, batch_id: str, source: str, source_url: str,
                                 ts: str, version: str = "v1",
-                                partitions: int | None = None) -> DataFrame:
+                                partitions: int | None = None, failures: bool = False) -> DataFrame:
+    """One record per page that can be saved; with `failures` also those that could not be
+    read, marked as failed, and the error beside the fields."""
     parsed = parse_ingredient_pages(pages, partitions).withColumn("ingredient_url", F.col("url"))
     stamped = stamp_batch(parsed, batch_id, source, version, ts).withColumns({
         "record_id": t.record_id("ingredient_url", f"{source}_ingredient"),
@@ -46,4 +49,7 @@ def build_ingredient_dictionary(pages: DataFrame, batch_id: str, source: str, so
         "raw_file_path": F.lit(None).cast("string")})
     checked = validate_record(
         stamped, fixed.REQUIRED_INGREDIENT_FIELDS, fixed.OPTIONAL_INGREDIENT_FIELDS)
+    if failures:
+        return mark_failed(checked.filter(F.col("ingredient_url").isNotNull())).select(
+            *fixed.INGREDIENT_FIELDS, "error_type")
     return project_fields(valid_for_saving(checked, "ingredient_url"), fixed.INGREDIENT_FIELDS)

@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Column, functions as F
 
 from silverline.functions import fixed
 from silverline.operators import quality as q
 from silverline.operators.aggregates import row_audit
 from silverline.plans import bronze_to_silver as b2s
+from silverline.plans.batches import run_dictionary_batch, run_source_batch
 from silverline.plans.dictionary import build_ingredient_dictionary
+from silverline.plans.discovery import discover_ingredients, discover_products
 from silverline.plans.entities import build_entities
 from silverline.plans.features import recommendation_features
 from silverline.plans.source_products import build_source_products
 from silverline.queries.files import FETCH_SQL, fetch_log
 from silverline.queries.markup import BASE, html, obj, script
 from silverline.queries.registry import query
+from silverline.sources import readers as rd
 from silverline.sources.shared import fresh_path
 from silverline.sources.writers import write_csv
 
@@ -217,6 +220,120 @@ def _(d):
                       "extraction_status", F.array_join("missing_fields", ",").alias("missing_fields"))
 
 
+def _source_pages(d):
+    k = F.col("p_partkey")
+    body = html('<h1 id="product-title">', F.when(k % 5 != 0, F.col("p_name")), "</h1>")
+    return d.part.select(html(BASE + "/p/", k).alias("url"), F.when(k % 7 != 0, body).alias("html"))
+
+
+def _source_batch(d):
+    return run_source_batch(
+        d.spark, _source_pages(d), fresh_path(d.spark, "source-batch"), "20260518_111454", "second", BASE,
+        "2026-05-18T11:14:54", "/in/urls.csv", partitions=d.spark.sparkContext.defaultParallelism)
+
+
+@query("source_batch_manifest", """
+SELECT '20260518_111454' AS batch_id, 'second' AS source_name, 'products' AS entity, 'v1' AS pipeline_version,
+  '/in/urls.csv' AS input_url_file, '2026-05-18T11:14:54.000000' AS started_at, '2026-05-18T11:14:54.000000' AS finished_at,
+  count(*) AS total_urls, 0::BIGINT AS success_count, count(*) FILTER (WHERE p_partkey % 7 <> 0) AS partial_count,
+  count(*) FILTER (WHERE p_partkey % 7 = 0) AS failed_count,
+  'failed,failed_urls,records_csv,records_jsonl,run_log' AS outputs FROM part""")
+def _(d):
+    names = ["records_jsonl", "records_csv", "run_log", "failed_urls", "failed_pages"]
+    files = ", ".join(f"{n}: string" for n in names)
+    made = rd.read_jsonl(d.spark, f"{_source_batch(d)['manifest']}/totals", (
+        "batch_id string, source_name string, entity string, pipeline_version string, input_url_file string, "
+        "started_at string, finished_at string, total_urls long, success_count long, partial_count long, "
+        f"failed_count long, output_files struct<{files}>"))
+    ends = F.array(*[F.substring_index(F.col(f"output_files.{n}"), "/", -1) for n in names])
+    return made.withColumn("outputs", F.array_join(F.array_sort(ends), ",")).drop("output_files")
+
+
+@query("source_batch_records", """
+SELECT 'https://shop.example.com/p/' || p_partkey AS product_url, CASE WHEN p_partkey % 5 <> 0 THEN p_name END AS product_name,
+  'partial' AS extraction_status FROM part WHERE p_partkey % 7 <> 0""")
+def _(d):
+    return rd.read_jsonl(d.spark, _source_batch(d)["records_jsonl"],
+                         "product_url string, product_name string, extraction_status string")
+
+
+@query("source_batch_log", """
+SELECT 'https://shop.example.com/p/' || p_partkey AS product_url, CASE WHEN p_partkey % 7 = 0 THEN 'failed' ELSE 'partial' END AS status,
+  CASE WHEN p_partkey % 7 = 0 THEN 'ParseError' END AS error_type, '2026-05-18T11:14:54.000000' AS collected_at FROM part""")
+def _(d):
+    return rd.read_jsonl(d.spark, _source_batch(d)["run_log"],
+                         "product_url string, status string, error_type string, collected_at string")
+
+
+@query("dictionary_batch_failures", """
+SELECT 'https://shop.example.com/i/' || s_suppkey AS ingredient_url, cast(NULL AS int) AS http_status, cast(NULL AS int) AS attempts,
+  'ParseError' AS error_type, cast(NULL AS varchar) AS error_message, '2026-05-18T11:14:54.000000' AS collected_at
+FROM supplier WHERE s_suppkey % 3 = 0""")
+def _(d):
+    k = F.col("s_suppkey")
+    pages = d.supplier.select(html(BASE + "/i/", k).alias("url"), F.when(k % 3 != 0, html(
+        "<body><main><h1>", F.col("s_name"), "</h1></main></body>")).alias("html"))
+    made = run_dictionary_batch(d.spark, pages, fresh_path(d.spark, "dictionary-batch"), "b", "third", BASE,
+                                "2026-05-18T11:14:54", "/in/urls.csv", partitions=d.spark.sparkContext.defaultParallelism)
+    return d.spark.read.parquet(made["failed_urls"])
+
+
+# ---- Discovery over list pages: page n shows the products or ingredients of its orders' lines ----
+
+def _listing(d, card: Column):
+    """One page per order of up to seven cards; the same key shows up on many pages."""
+    cards = F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))), lambda x: card(x["l_partkey"]))
+    return (d.lineitem.filter("l_orderkey is not null").groupBy(F.col("l_orderkey").alias("page"))
+            .agg(F.array_join(cards, "").alias("body"))
+            .select("page", F.when(F.col("page") % 11 != 0, html("<html><table>", F.col("body"), "</table>")).alias("html")))
+
+
+_SHOWN = """shown AS (SELECT l_orderkey AS page, l_partkey AS k, min(l_linenumber) AS at FROM lineitem
+  WHERE l_orderkey % 11 <> 0 GROUP BY ALL), firsts AS (SELECT k, min(page) AS page FROM shown GROUP BY 1)"""
+
+
+def _products(d):
+    card = lambda k: html('<div class="card f-column"><p class="product-card__title"><a class="reversed-link" href="/p/', k,
+                          '#c">Item ', k, "</a></p></div>")
+    return discover_products(_listing(d, card), BASE, d.spark.sparkContext.defaultParallelism)
+
+
+@query("discover_product_links", f"""
+WITH {_SHOWN} SELECT 'https://shop.example.com/p/' || k || '#c' AS product_url, 'Item ' || k AS product_name, page FROM firsts""")
+def _(d):
+    return _products(d)["links"].select("product_url", "product_name", "page")
+
+
+@query("discover_product_progress", f"""
+WITH {_SHOWN}, found AS (SELECT l_orderkey AS page, count(*) AS found FROM lineitem WHERE l_orderkey % 11 <> 0 GROUP BY 1),
+new AS (SELECT page, count(*) AS new_keys FROM firsts GROUP BY 1)
+SELECT page, found, coalesce(new_keys, 0) AS new_keys, sum(coalesce(new_keys, 0)) OVER (ORDER BY page)::BIGINT AS known_keys
+FROM found LEFT JOIN new USING (page)""")
+def _(d):
+    return _products(d)["progress"]
+
+
+@query("discover_ingredient_urls", f"""
+WITH {_SHOWN} SELECT 'https://shop.example.com/ingredient-dictionary/ingredient-' || k || '.html' AS ingredient_url,
+  'Name ' || k AS ingredient_name_from_list, 'Good' AS rating_from_list, page FROM firsts""")
+def _(d):
+    return _ingredients(d)["links"].select("ingredient_url", "ingredient_name_from_list", "rating_from_list", "page")
+
+
+def _ingredients(d):
+    row = lambda k: html('<tr><td><a href="/ingredient-dictionary/ingredient-', k, '.html#top"><h3>Name ', k,
+                         '</h3></a></td><td><i class="xColoredIngredientRating1">Good</i></td></tr>')
+    return discover_ingredients(_listing(d, row), BASE, "third", d.spark.sparkContext.defaultParallelism)
+
+
+@query("discover_ingredient_log", """
+SELECT l_orderkey AS page, CASE WHEN l_orderkey % 11 = 0 THEN 0 ELSE count(*) END AS records_found,
+  l_orderkey % 11 <> 0 AS success, CASE WHEN l_orderkey % 11 = 0 THEN 'ParseError' END AS error_type
+FROM lineitem GROUP BY l_orderkey""")
+def _(d):
+    return _ingredients(d)["log"]
+
+
 def _has(words):
     return "(" + " OR ".join(f"contains(t, '{w}')" for w in words) + ")"
 
@@ -287,10 +404,14 @@ def _(d):
 
 @query("run_log", f"""
 SELECT ingredient_url, CASE WHEN error_type IS NULL THEN 'ok' ELSE 'failed_fetch' END AS status, http_status,
-  cast(attempts AS bigint) AS attempts, error_type, cast(NULL AS varchar) AS error_message, collected_at FROM ({FETCH_SQL})""")
+  cast(attempts AS bigint) AS attempts, error_type, cast(NULL AS varchar) AS error_message, collected_at,
+  CASE WHEN event_type = 'error' THEN 'body,title' END AS missing_fields
+FROM ({FETCH_SQL}) JOIN (SELECT event_id, event_type FROM events) USING (event_id)""")
 def _(d):
-    log = q.run_log(q.classify_fetch(fetch_log(d), "http_status", "body_length"), "ingredient_url")
-    return log.drop("missing_fields")
+    lacking = F.when(F.col("event_type") == "error", F.array(F.lit("body"), F.lit("title")))
+    rows = fetch_log(d).join(d.events.select("event_id", "event_type"), "event_id").withColumn("missing_fields", lacking)
+    log = q.run_log(q.classify_fetch(rows, "http_status", "body_length"), "ingredient_url")
+    return log.withColumn("missing_fields", F.array_join("missing_fields", ","))
 
 
 @query("discovery_log", """

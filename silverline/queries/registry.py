@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from silverline.queries.folder import use_local_folder
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -27,7 +29,11 @@ def query(name: str, sql: str | None = None):
     def register(fn):
         if name in QUERIES:
             raise ValueError(f"Duplicate query {name}")
-        QUERIES[name] = lambda spark, folder: fn(Tables(spark, folder))
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            use_local_folder(spark)
+            return fn(Tables(spark, folder))
+
+        QUERIES[name] = run
         MODULES[name] = fn.__module__
         if sql:
             ORACLES[name] = sql.strip()

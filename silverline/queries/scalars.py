@@ -36,6 +36,35 @@ def _(d):
     return d.pages.select("page_id", t.clean_text(article, strip_tags=True).alias("text"))
 
 
+_MARKED = (
+    "M&uuml;ller", "&#00000065;&#x0042;&#X43;", "&amp;lt;", "a &lt; b", "pH < 5 and > 3", "1<2>0",
+    "x<script>var y = '<b>';</script>z", "<style>p{}</style>s", "<b title=\"a>b\">t</b>", "<!-- no > -->c",
+    "&unknown; &copy &AMP;", "&#150;&#0;&#xD800;&#99999999999;", "<br/>l<P>m", "&nbsp;&NotEqualTilde;")
+_PLAIN = (
+    "Müller", "ABC", "&lt;", "a < b", "pH < 5 and > 3", "1<2>0", "x z", "s", "t", "c", "&unknown; © &",
+    "\u2013\ufffd\ufffd\ufffd", "l m", "\u2242\u0338")
+
+
+@query("clean_text_references", "SELECT s_suppkey, CASE s_suppkey % %d %s END || ' ' || s_name AS text FROM supplier".replace(
+    "%d", str(len(_PLAIN))).replace("%s", " ".join(f"WHEN {i} THEN '{x}'" for i, x in enumerate(_PLAIN))))
+def _(d):
+    """References of all kinds, `<` as text, and markup whose content is not text."""
+    marked = F.element_at(F.array(*map(F.lit, _MARKED)), (F.col("s_suppkey") % len(_MARKED) + 1).cast("int"))
+    return d.supplier.select("s_suppkey", t.clean_text(F.concat(marked, F.lit(" "), "s_name"), strip_tags=True).alias("text"))
+
+
+@query("absolute_url_dots", """
+SELECT s_suppkey, 'https://shop.example.com/' || CASE s_suppkey % 6 WHEN 0 THEN 'y/' || s_suppkey WHEN 1 THEN 'a/' || s_suppkey || '?q=/../x'
+  WHEN 2 THEN s_suppkey || '/' WHEN 3 THEN '..a/' || s_suppkey WHEN 4 THEN s_suppkey || '#a/../b' ELSE 'b/' || s_suppkey || '/' END AS link
+FROM supplier""")
+def _(d):
+    k = F.col("s_suppkey").cast("string")
+    paths = (("/x/../y/", ""), ("a/./", "?q=/../x"), ("../../", "/."), ("/..a/", ""), ("/a/b/../../", "#a/../b"), ("b/c/../", "/d/.."))
+    made = [F.concat(F.lit(a), k, F.lit(b)) for a, b in paths]
+    link = F.element_at(F.array(*made), (F.col("s_suppkey") % 6 + 1).cast("int"))
+    return d.supplier.select("s_suppkey", t.absolute_url(link, "https://shop.example.com", resolve=True).alias("link"))
+
+
 @query("safe_lower", """
 SELECT c_custkey, lower(trim(coalesce(CASE WHEN c_custkey % 4 <> 0 THEN ' ' || c_mktsegment END, ''))) AS segment
 FROM customer""")

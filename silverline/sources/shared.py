@@ -2,26 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
-_local_folder: str | None = None
+
+
+def _context_dir(spark: SparkSession) -> str | None:
+    folder = spark.sparkContext._jsc.sc().getCheckpointDir()
+    return None if folder.isEmpty() else folder.get()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only for an unset local session."""
-    global _local_folder
-    folder = spark.conf.get(_SETTING, None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
+    """The session's checkpoint folder. None is ever made up: a session without one fails."""
+    folder = spark.conf.get(_SETTING, None) or _context_dir(spark)
+    if not folder:
         raise ValueError(f"Set {_SETTING} to a folder all executors share")
-    if _local_folder is None:
-        _local_folder = tempfile.mkdtemp(prefix="silverline-")
-    return _local_folder
+    return folder
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -30,7 +28,7 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 def durable(df: DataFrame) -> DataFrame:
     """Cut lineage through the shared folder, so a lost executor loses nothing."""
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(shared_dir(df.sparkSession))
+    spark = df.sparkSession
+    if not _context_dir(spark):
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint()

@@ -60,8 +60,8 @@ def write_dead_letter(df: DataFrame, path: str) -> str:
 
 
 def manifest(records: DataFrame, keys: list[str], status: str, started: str, finished: str,
-             outputs: dict[str, str]) -> DataFrame:
-    """One row per batch: totals by status, first and last time, output paths.
+             outputs: dict[str, str], identity: dict[str, str] | None = None) -> DataFrame:
+    """One row per batch: what was run, totals by status, first and last time, output paths.
 
     Failed records are a table of their own (see `failed_pages`), never a list in one
     cell: a bad batch may hold any number of them.
@@ -73,7 +73,7 @@ def manifest(records: DataFrame, keys: list[str], status: str, started: str, fin
         F.count_if(s == "success").alias("success_count"),
         F.count_if(s == "partial").alias("partial_count"),
         F.count_if(s == "failed").alias("failed_count"))
-    return totals.withColumn(
+    return totals.withColumns({k: F.lit(v) for k, v in (identity or {}).items()}).withColumn(
         "output_files", F.struct(*[F.lit(v).alias(k) for k, v in outputs.items()]))
 
 
@@ -82,11 +82,12 @@ def failed_pages(records: DataFrame, keys: list[str], status: str, fields: list[
 
 
 def write_manifest(records: DataFrame, path: str, keys: list[str], status: str, started: str,
-                   finished: str, fields: list[str]) -> str:
+                   finished: str, fields: list[str], identity: dict[str, str] | None = None,
+                   outputs: dict[str, str] | None = None) -> str:
     """`totals/` holds the batch rows, `failed/` the failed records, both as JSON lines."""
-    outputs = {"failed_pages": f"{path}/failed"}
+    outputs = {**(outputs or {}), "failed_pages": f"{path}/failed"}
     write_jsonl(failed_pages(records, keys, status, fields), outputs["failed_pages"])
-    write_jsonl(manifest(records, keys, status, started, finished, outputs), f"{path}/totals")
+    write_jsonl(manifest(records, keys, status, started, finished, outputs, identity), f"{path}/totals")
     return path
 
 

@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -15,6 +16,7 @@ def spark():
         SparkSession.builder.master("local[8]").appName("silverline-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="silverline-tests-"))
         .config("spark.ui.enabled", "false").config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate())
     session.sparkContext.setLogLevel("ERROR")

@@ -1,10 +1,6 @@
 """Every registered query against its SQL on the smallest data.
-
-Planning the page rules takes a while, so by default they are left to tests/test_pages.py;
-set SILVERLINE_ALL=1 to compare them here too (tools/check.py does so at any scale).
 """
 
-import os
 import sys
 from pathlib import Path
 
@@ -14,11 +10,9 @@ sys.path[:0] = [str(Path(__file__).resolve().parents[1] / x) for x in ("", "tool
 import __spark_entry__ as entry  # noqa: E402
 import check  # noqa: E402
 from conftest import DATA  # noqa: E402
-from silverline.queries import cleaning, files, scalars  # noqa: E402
 
 ALL = entry.queries()
-QUICK = [n for n in ALL if n in entry.registered.names_of(cleaning, scalars, files)]
-NAMES = list(ALL) if os.environ.get("SILVERLINE_ALL") else QUICK
+NAMES = list(entry.registered.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -33,7 +27,7 @@ def test_same_rows_as_sql(spark, con, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(ALL)
+    assert set(entry.registered.ORACLES) == set(entry.registered.QUERIES)
 
 
 def test_entry(spark):
