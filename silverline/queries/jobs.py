@@ -136,39 +136,55 @@ _VALID = "FROM part WHERE p_partkey % 8 <> 0 AND p_partkey % 10 <> 0 AND p_partk
 _PID = "md5('https://shop.example.com/p/' || p_partkey)"
 
 
+def _nulls(kind: str, *names: str) -> str:
+    return ", ".join(f"cast(NULL AS {kind}) AS {n}" for n in names)
+
+
 @query("entity_products", f"""
-SELECT {_PID} AS product_id, p_name AS product_name, p_brand AS brand_name, 'A soothing ' || p_name AS description,
-  p_size || '.25' AS price, CASE WHEN p_size % 2 = 0 THEN 0 END AS fungal_acne_safe, 'Oil-Free' AS product_claims,
-  1 AS oil_free, 'soothing' AS benefits, 'redness' AS concerns {_VALID}""")
+SELECT {_PID} AS product_id, 'https://shop.example.com/p/' || p_partkey AS product_url, p_name AS product_name,
+  p_brand AS brand_name, 'A soothing ' || p_name AS description, p_size || '.25' AS price, 'USD' AS currency,
+  CASE WHEN p_size % 2 = 0 THEN 0 END AS fungal_acne_safe, 'Oil-Free' AS product_claims, 1 AS oil_free, 0 AS vegan,
+  0 AS cruelty_free, 0 AS reef_safe, 0 AS fragrance_free, 0 AS alcohol_free, 0 AS paraben_free, 0 AS sulfate_free,
+  0 AS silicone_free, 'soothing' AS benefits, 'redness' AS concerns, 'shop' AS source,
+  {_nulls("varchar", "category", "sub_category", "image_url", "size", "product_type_text", "key_actives_text",
+          "good_for_skin_types", "bad_for_skin_types", "skin_type_notes", "safety_notes", "free_from", "country_of_origin")},
+  {_nulls("int", "ingredients_count", "oily_skin_score", "dry_skin_score", "sensitive_skin_score",
+          "combination_skin_score", "normal_skin_score", "acne_prone_score", "pregnancy_safe", "irritation_rating")},
+  {_nulls("double", "rating", "comedogenic_rating")}, {_nulls("bigint", "number_of_reviews")} {_VALID}""")
 def _(d):
-    return _entities(d)["products"].select(
-        "product_id", "product_name", "brand_name", "description", "price", "fungal_acne_safe", "product_claims",
-        "oil_free", "benefits", "concerns")
+    return _entities(d)["products"]
 
 
 @query("entity_ingredients", f"""
+SELECT *, 'shop' AS source, {_nulls("varchar", "evidence_level", "science_tags", "science_details", "callout_type",
+                                    "callout_text", "warning_type", "warning_text")} FROM (
 SELECT md5(lower(p_brand)) AS ingredient_id, upper(p_brand) AS ingredient_name, max_by(p_type, p_partkey) AS description
 {_VALID} GROUP BY p_brand
-UNION ALL SELECT DISTINCT md5(lower(p_type)), p_type, cast(NULL AS varchar) {_VALID}""")
+UNION ALL SELECT DISTINCT md5(lower(p_type)), p_type, cast(NULL AS varchar) {_VALID})""")
 def _(d):
-    return _entities(d)["ingredients"].select("ingredient_id", "ingredient_name", "description")
+    return _entities(d)["ingredients"]
 
 
 @query("entity_bridge", f"""
-SELECT {_PID} AS product_id, md5(lower(p_brand)) AS ingredient_id, 1 AS ingredient_position,
-  p_size || '%' AS ingredient_concentration, upper(p_brand) || ' ' || p_size || '%' AS raw_ingredient_name {_VALID}
-UNION ALL SELECT {_PID}, md5(lower(p_type)), 2, NULL, p_type {_VALID}""")
+SELECT *, 'shop' AS source, cast(NULL AS varchar) AS evidence_level FROM (
+SELECT {_PID} AS product_id, p_name AS product_name, md5(lower(p_brand)) AS ingredient_id,
+  upper(p_brand) AS ingredient_name, 1 AS ingredient_position, p_size || '%' AS ingredient_concentration,
+  upper(p_brand) || ' ' || p_size || '%' AS raw_ingredient_name {_VALID}
+UNION ALL SELECT {_PID}, p_name, md5(lower(p_type)), p_type, 2, NULL, p_type {_VALID})""")
 def _(d):
-    return _entities(d)["product_ingredients"].select(
-        "product_id", "ingredient_id", "ingredient_position", "ingredient_concentration", "raw_ingredient_name")
+    return _entities(d)["product_ingredients"]
 
 
 @query("entity_features", f"""
-SELECT {_PID} AS product_id, 1 AS skin_type_oily, 1 AS skin_type_sensitive, 0 AS concern_acne, 1 AS concern_redness,
-  CASE WHEN p_size % 2 = 0 THEN 1 END AS avoid_for_fungal_acne {_VALID}""")
+SELECT {_PID} AS product_id, 1 AS skin_type_oily, 0 AS skin_type_dry, 1 AS skin_type_sensitive,
+  0 AS skin_type_combination, 0 AS skin_type_acne_prone, 0 AS concern_acne, 1 AS concern_redness,
+  0 AS concern_hyperpigmentation, 0 AS concern_anti_aging, 0 AS concern_dryness, 1 AS suitable_for_oily,
+  0 AS suitable_for_dry, 1 AS suitable_for_sensitive, 0 AS suitable_for_acne, 0 AS suitable_for_hyperpigmentation,
+  0 AS suitable_for_anti_aging, 1 AS suitable_for_redness, 0 AS avoid_for_sensitive,
+  CASE WHEN p_size % 2 = 0 THEN 1 END AS avoid_for_fungal_acne, CASE WHEN p_size % 2 = 0 THEN 0 END AS fungal_acne_safe,
+  {_nulls("int", "pregnancy_safe", "irritation_risk")}, {_nulls("double", "comedogenic_risk")} {_VALID}""")
 def _(d):
-    return _entities(d)["features"].select("product_id", "skin_type_oily", "skin_type_sensitive", "concern_acne",
-                                           "concern_redness", "avoid_for_fungal_acne")
+    return _entities(d)["features"]
 
 
 @query("entity_rejected", """
@@ -334,19 +350,27 @@ def _(d):
     return _ingredients(d)["log"]
 
 
-def _has(words):
-    return "(" + " OR ".join(f"contains(t, '{w}')" for w in words) + ")"
-
-
-_SCORED = {"oily_skin_score": "CASE WHEN quality = 1 THEN 5 ELSE 2 END", "dry_skin_score": "CASE WHEN toxic = 1 THEN 4 END"}
-_FEATURE_SQL = ", ".join(
-    f"cast({_has(words)} OR coalesce({_SCORED.get(score, 'NULL')}, 0) >= 4 AS int) AS {name}"
-    for name, (score, words) in fixed.FEATURE_RULES.items())
-
-
-@query("recommendation_features", f"""
-SELECT doc_id AS product_id, {_FEATURE_SQL},
-  cast({_has(fixed.AVOID_SENSITIVE_WORDS)} AND NOT {_has(fixed.AVOID_SENSITIVE_EXCEPT)} AS int) AS avoid_for_sensitive,
+@query("recommendation_features", """
+SELECT doc_id AS product_id,
+  cast(contains(t, 'oily') OR contains(t, 'oil-free') OR contains(t, 'sebum') OR contains(t, 'matte') OR coalesce(CASE WHEN quality = 1 THEN 5 ELSE 2 END, 0) >= 4 AS int) AS skin_type_oily,
+  cast(contains(t, 'dry skin') OR contains(t, 'dryness') OR contains(t, 'hydrating') OR coalesce(CASE WHEN toxic = 1 THEN 4 END, 0) >= 4 AS int) AS skin_type_dry,
+  cast(contains(t, 'sensitive') OR contains(t, 'soothing') OR contains(t, 'calming') AS int) AS skin_type_sensitive,
+  cast(contains(t, 'combination skin') AS int) AS skin_type_combination,
+  cast(contains(t, 'acne-prone') OR contains(t, 'acne prone') AS int) AS skin_type_acne_prone,
+  cast(contains(t, 'acne') OR contains(t, 'blemish') OR contains(t, 'salicylic') OR contains(t, 'bha') OR contains(t, 'non-comedogenic') AS int) AS concern_acne,
+  cast(contains(t, 'redness') OR contains(t, 'soothing') OR contains(t, 'calming') OR contains(t, 'centella') AS int) AS concern_redness,
+  cast(contains(t, 'hyperpigmentation') OR contains(t, 'dark spot') OR contains(t, 'brightening') OR contains(t, 'niacinamide') OR contains(t, 'vitamin c') AS int) AS concern_hyperpigmentation,
+  cast(contains(t, 'anti-aging') OR contains(t, 'wrinkle') OR contains(t, 'retinol') OR contains(t, 'peptide') AS int) AS concern_anti_aging,
+  cast(contains(t, 'dryness') OR contains(t, 'hydration') OR contains(t, 'moisture') OR contains(t, 'barrier') AS int) AS concern_dryness,
+  cast(contains(t, 'oily') OR contains(t, 'oil-free') OR contains(t, 'matte') OR coalesce(CASE WHEN quality = 1 THEN 5 ELSE 2 END, 0) >= 4 AS int) AS suitable_for_oily,
+  cast(contains(t, 'dry skin') OR contains(t, 'hydrating') OR contains(t, 'moisturizing') OR coalesce(CASE WHEN toxic = 1 THEN 4 END, 0) >= 4 AS int) AS suitable_for_dry,
+  cast(contains(t, 'sensitive') OR contains(t, 'soothing') AS int) AS suitable_for_sensitive,
+  cast(contains(t, 'acne-prone') OR contains(t, 'non-comedogenic') AS int) AS suitable_for_acne,
+  cast(contains(t, 'hyperpigmentation') OR contains(t, 'dark spot') OR contains(t, 'brightening') AS int) AS suitable_for_hyperpigmentation,
+  cast(contains(t, 'anti-aging') OR contains(t, 'wrinkle') OR contains(t, 'retinol') OR contains(t, 'peptide') AS int) AS suitable_for_anti_aging,
+  cast(contains(t, 'redness') OR contains(t, 'soothing') OR contains(t, 'calming') AS int) AS suitable_for_redness,
+  cast((contains(t, 'fragrance') OR contains(t, 'alcohol denat'))
+    AND NOT (contains(t, 'fragrance-free') OR contains(t, 'alcohol-free')) AS int) AS avoid_for_sensitive,
   cast(toxic = 0 AS int) AS avoid_for_fungal_acne, toxic AS fungal_acne_safe, quality AS pregnancy_safe,
   cast(NULL AS int) AS comedogenic_risk, cast(NULL AS int) AS irritation_risk
 FROM (SELECT d.doc_id, lower(d.text) AS t, quality, toxic FROM documents d LEFT JOIN labels USING (doc_id))""")
