@@ -75,44 +75,45 @@ def loss_text(formatted: str, spans: list) -> str:
     return "".join(unescape(formatted[a:b]) for a, b in spans)
 
 
-def ancestors(nodes: DataFrame) -> list[DataFrame]:
-    """Round k: (tree, node, up, total): the message 2^k above, and the scores below it.
+def ancestors(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """The tables of each round, and the totals of whole paths.
 
-    The last table has the path totals: `up` is null but for messages that reach no root.
+    Round k has (tree, node, up, total, steps) of the messages that have an ancestor 2^k above,
+    `up`; total and steps count what lies below it. Messages whose path ends earlier leave the
+    rounds, and are in the second table with their totals.
     """
-    real = nodes.select("tree", F.col("node").alias("up"))
-    level = (nodes.select("tree", "node", F.col("parent").alias("up"), F.col("score").alias("total"))
-             .join(real.withColumn("_real", F.lit(True)), ["tree", "up"], "left")
-             .select("tree", "node", F.when(F.col("_real"), F.col("up")).alias("up"), "total",
-                     F.lit(1).cast("long").alias("steps")))
-    levels = [durable(level)]
+    real = nodes.select("tree", F.col("node").alias("up"), F.lit(True).alias("_real"))
+    rows = durable(
+        nodes.select("tree", "node", F.col("parent").alias("up"), F.col("score").alias("total"))
+        .join(real, ["tree", "up"], "left")
+        .select("tree", "node", F.when(F.col("_real"), F.col("up")).alias("up"), "total",
+                F.lit(1).cast("long").alias("steps")))
+    done, levels = rows.filter("up is null"), [rows.filter("up is not null")]
     bound = max(1, nodes.count())
-    while (1 << len(levels) - 1) <= bound:
-        last = levels[-1]
-        if last.filter("up is not null").isEmpty():
-            break
-        above = last.select("tree", F.col("node").alias("up"), F.col("up").alias("_up"),
-                            F.col("total").alias("_total"), F.col("steps").alias("_steps"))
-        levels.append(durable(
-            last.join(above, ["tree", "up"], "left")
-            .select("tree", "node", F.col("_up").alias("up"),
-                    (F.col("total") + F.coalesce("_total", F.lit(0.0))).alias("total"),
-                    (F.col("steps") + F.coalesce("_steps", F.lit(0))).alias("steps"))))
-    return levels
+    while 1 << len(levels) - 1 <= bound and not levels[-1].isEmpty():
+        above = levels[-1].union(done).select(
+            "tree", F.col("node").alias("up"), F.col("up").alias("_up"),
+            F.col("total").alias("_total"), F.col("steps").alias("_steps"))
+        rows = durable(levels[-1].join(above, ["tree", "up"]).select(
+            "tree", "node", F.col("_up").alias("up"), (F.col("total") + F.col("_total")).alias("total"),
+            (F.col("steps") + F.col("_steps")).alias("steps")))
+        done = done.union(rows.filter("up is null"))
+        levels.append(rows.filter("up is not null"))
+    return levels, done
 
 
 def paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
     """(tree, leaf, rank, node, above): the messages of each tree's best branches."""
-    levels = ancestors(nodes)
+    levels, whole = ancestors(nodes)
     parents = nodes.select("tree", F.col("parent").alias("node")).distinct()
     best = Window.partitionBy("tree").orderBy(F.col("mean").desc_nulls_last(), "node")
-    chosen = (levels[-1].filter("up is null").join(parents, ["tree", "node"], "left_anti")
+    chosen = (whole.join(parents, ["tree", "node"], "left_anti")
               .withColumn("mean", F.col("total") / F.col("steps"))
               .withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= branches))
     found = durable(chosen.select("tree", F.col("node").alias("leaf"), "rank", "node",
                                   F.lit(0).cast("long").alias("above")))
     for k, level in enumerate(levels[:-1]):
-        step = level.filter("up is not null").select("tree", "node", "up")
+        step = level.select("tree", "node", "up")
         found = durable(found.union(
             found.join(step, ["tree", "node"])
             .select("tree", "leaf", "rank", F.col("up").alias("node"), F.col("above") + (1 << k))))
