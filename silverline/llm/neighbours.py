@@ -9,7 +9,7 @@ product. A search stops when the next box lies so far away, measured by the k-th
 so far, that the chi-square test is sure that what lies there is not nearer: a better
 candidate is missed with a chance of at most 1 - `SURE`.
 
-The tree's upper levels are split at medians of a bounded sample (`SAMPLE` rows) into cells of
+The tree's upper levels are split at medians of a bounded sample (about `SAMPLE` rows) into cells of
 about `ROWS_A_CELL` rows; its lower levels are built inside each cell. Every row is indexed.
 Round one searches each query's own cell; round two sends it to just those cells which the
 k-th distance found there does not rule out. Cells meet queries by a shuffle on cell and block
@@ -279,7 +279,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "ve
     count, top = classes.agg(F.count(F.lit(1)), F.max(length)).first()
     space = Space.make(dim, (top or 1.0) * (1 + 1e-9))
     levels = math.ceil(math.log2(min(MAX_CELLS, max(LEAST_CELLS, count / ROWS_A_CELL))))
-    picked = classes.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("vec").toArrow()
+    share = int(min(1.0, SAMPLE / max(1, count)) * (1 << 30))
+    picked = (classes.filter(F.pmod(F.xxhash64("rep"), F.lit(1 << 30)) < share)
+              .select("vec").limit(2 * SAMPLE).toArrow())  # SAMPLE rows on average
     tree = Tree.grow(space.candidates(matrix(picked["vec"])) if count else np.zeros((0, DIMS)), levels)
     points = durable(classes.mapInArrow(
         _home(space, tree), "rep long, ids array<bigint>, vec array<double>, cell long"))
