@@ -11,9 +11,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SPACE = r"[\x20\x09-\x0D]"
+SAMPLE_PARTS = 64
 SPACES = " \t\n\x0b\x0c\r"
 
 
@@ -39,8 +40,17 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(4)) == 2, F.lit(False))
 
 
-def select_as_long(df: DataFrame, *columns: str) -> list[Column]:
-    return [F.col(c).cast("long").alias(c) for c in columns]
+def sample_by_hash(df: DataFrame, group: str, key: str, size: int) -> DataFrame:
+    """At most `size` rows of each group, those with the smallest key hashes.
+
+    Chosen in two steps: a group's rows are thinned in `SAMPLE_PARTS` parts first, so the task
+    that chooses finally sees a bounded number of rows, however many tasks there are.
+    """
+    order = [F.xxhash64(key), F.col(key)]
+    parts = Window.partitionBy(group, F.pmod(F.xxhash64(key, F.lit(group)), F.lit(SAMPLE_PARTS))).orderBy(*order)
+    whole = Window.partitionBy(group).orderBy(*order)
+    thin = df.withColumn("_n", F.row_number().over(parts)).filter(F.col("_n") <= size)
+    return thin.withColumn("_n", F.row_number().over(whole)).filter(F.col("_n") <= size).drop("_n")
 
 
 def batches(rows: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:

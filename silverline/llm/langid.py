@@ -25,9 +25,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from silverline.llm.common import batches
+from silverline.llm.common import batches, sample_by_hash
 
 DIM = 1 << 13
 BLOCK = 1 << 18
@@ -129,9 +129,8 @@ def training_rows(docs: DataFrame, usable: Column, per_language: int = PER_LANGU
     """At most `per_language` (text, lang) pairs of each language, ordered by id hash."""
     pool = docs.filter(usable & F.col("lang").isNotNull() & (F.length("text") <= max_chars)
                        & F.col("doc_id").isNotNull())
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = (pool.select("doc_id", "lang").withColumn("_n", F.row_number().over(by_hash))
-              .filter(F.col("_n") <= per_language).select("doc_id").distinct())
+    picked = (sample_by_hash(pool.select("doc_id", "lang"), "lang", "doc_id", per_language)
+              .select("doc_id").distinct())
     # At most `per_language` ids for each language, hence safe to broadcast and to collect.
     rows = pool.join(F.broadcast(picked), "doc_id").select("doc_id", "text", "lang").collect()
     rows.sort(key=lambda r: (r["lang"], hash_order(r["doc_id"]), r["text"]))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from silverline.llm import (chat, langid, line_dedup, mixing, neighbours, packing, quality, simhash,
                             substrings, toxicity)
 from silverline.llm.common import held_out
+from silverline.queries.folder import use_local_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -16,7 +17,11 @@ ORACLES: dict[str, str] = {}
 
 def _query(name: str, sql: str | None = None):
     def register(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            use_local_folder(spark)
+            return fn(spark, folder)
+
+        QUERIES[name] = run
         if sql:
             ORACLES[name] = sql.strip()
         return fn

@@ -35,9 +35,9 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from silverline.llm.common import SPACES, batches
+from silverline.llm.common import SPACES, batches, sample_by_hash
 
 PIECE, STEP = 14, 7
 LETTERS = 128
@@ -275,10 +275,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, usable: Column,
     """At most `per_class` (text, toxic) pairs of each class, in the order of id hashes."""
     known = (labels.filter(usable & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    by_hash = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
     # At most `per_class` ids of each of two classes, hence safe to broadcast and to collect.
-    picked = (known.withColumn("_n", F.row_number().over(by_hash))
-              .filter(F.col("_n") <= per_class).select("doc_id", "toxic"))
+    picked = sample_by_hash(known, "toxic", "doc_id", per_class)
     rows = (docs.filter(F.length("text") <= max_chars).select("doc_id", "text")
             .join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"]).collect())
     return [(r["text"], r["toxic"]) for r in sorted(rows, key=lambda r: r["doc_id"])]
