@@ -166,7 +166,7 @@ def test_csv_keeps_quotes_lines_and_nulls(spark):
     path = fresh_path(spark, "csv")
     rows = [(1, 'a "b", c\n\nd', ["x", 'y"']), (2, None, None)]
     wr.write_csv(spark.createDataFrame(rows, "i int, v string, a array<string>"), path, ["v", "a", "i", "gone"])
-    back = rd.read_csv_strings(spark, path).orderBy("i").collect()
+    back = rd.read_csv_strings(spark, path, multi_line=True).orderBy("i").collect()
     assert back[0].asDict() == {"v": 'a "b", c\n\nd', "a": '["x","y\\""]', "i": "1", "gone": None}
     assert back[1]["v"] is None and back[1]["a"] is None
 
