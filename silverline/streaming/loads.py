@@ -46,11 +46,13 @@ def _bucket(keys: list[str]) -> Column:
 
 
 def _run_of(spark: SparkSession, checkpoint: str) -> str:
-    return spark.read.json(f"{checkpoint}/metadata").first()["id"]
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
 
 
 def _start_run(spark: SparkSession, target: str, run: str) -> None:
     """Note when a run first wrote; written once."""
+    if list_folders(spark, f"{target}/_runs/run={run}/_SUCCESS"):
+        return
     (spark.createDataFrame([(run, int(time.time() * 1000))], "run string, started long").coalesce(1)
      .write.mode("ignore").parquet(f"{target}/_runs/run={run}"))
 
@@ -98,11 +100,7 @@ def stored_rows(spark: SparkSession, target: str, schema: StructType,
 
 def _per_batch(source: DataFrame, checkpoint: str, action) -> StreamingQuery:
     def once(batch: DataFrame, number: int) -> None:
-        batch = batch.persist()
-        try:
-            action(batch, _run_of(batch.sparkSession, checkpoint), number)
-        finally:
-            batch.unpersist()
+        action(batch, _run_of(batch.sparkSession, checkpoint), number)
 
     return (source.writeStream.foreachBatch(once).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
@@ -112,11 +110,12 @@ def stream_unique(source: DataFrame, target: str, checkpoint: str, key: str,
                   order: list[str]) -> StreamingQuery:
     """Each key once across all runs: the first row of the first batch that has it."""
     def append_new(batch: DataFrame, run: str, number: int) -> None:
-        rows = keep_first(batch, [key], order)
+        rows = keep_first(batch, [key], order).persist()
         touched = [r[0] for r in rows.select(_bucket([key])).distinct().collect()]  # at most BUCKETS
         known = stored_rows(batch.sparkSession, target, batch.select(key).schema, skip=(run, number))
-        rows = skip_done(rows, known.filter(F.col("bucket").isin(touched)), key)
-        _write_batch(rows, target, run, number, [key])
+        new = skip_done(rows, known.filter(F.col("bucket").isin(touched)), key)
+        _write_batch(new, target, run, number, [key])
+        rows.unpersist()
 
     return _per_batch(source, checkpoint, append_new)
 
