@@ -132,14 +132,14 @@ def _entities(d):
     return build_entities(d.spark, _product_pages(d), BASE, "shop", min_body=1, partitions=cores)
 
 
-_VALID = "FROM part WHERE p_partkey % 8 <> 0 AND p_partkey % 10 <> 0 AND p_partkey % 9 <> 0 AND p_partkey % 17 <> 0"
-_PID = "md5('https://shop.example.com/p/' || p_partkey)"
-
-
 def _nulls(kind: str, *names: str) -> str:
     return ", ".join(f"cast(NULL AS {kind}) AS {n}" for n in names)
 
 
+_VALID = "FROM part WHERE p_partkey % 8 <> 0 AND p_partkey % 10 <> 0 AND p_partkey % 9 <> 0 AND p_partkey % 17 <> 0"
+_PID = "md5('https://shop.example.com/p/' || p_partkey)"
+
+
 @query("entity_products", f"""
 SELECT {_PID} AS product_id, 'https://shop.example.com/p/' || p_partkey AS product_url, p_name AS product_name,
   p_brand AS brand_name, 'A soothing ' || p_name AS description, p_size || '.25' AS price, 'USD' AS currency,
@@ -196,14 +196,24 @@ def _(d):
     return _entities(d)["rejected"]
 
 
-@query("ingredient_dictionary", """
+def flat(df):
+    """Lists as text, so that every column can be compared."""
+    return df.withColumns({c: F.array_join(F.col(c).cast("array<string>"), "|") for c, kind in df.dtypes if kind.startswith("array")})
+
+
+@query("ingredient_dictionary", f"""
 SELECT 'third_ingredient_' || left(sha256('https://shop.example.com/i/' || s_suppkey), 16) AS record_id,
-  'https://shop.example.com/i/' || s_suppkey AS ingredient_url, s_name AS raw_ingredient_name,
+  '20260518_111454' AS batch_id, 'third' AS source_name, 'website' AS source_type, 'https://shop.example.com' AS source_url,
+  'https://shop.example.com/i/' || s_suppkey AS ingredient_url, '2026-05-18' AS ingestion_date,
+  '2026-05-18T11:14:54.000000' AS collected_at, 'v1' AS pipeline_version, s_name AS raw_ingredient_name,
+  lower(s_name) AS normalized_ingredient_name,
   CASE WHEN s_suppkey % 4 = 0 THEN 'niacinamide' ELSE lower(s_name) END AS canonical_ingredient_name, 'GOOD' AS rating,
-  CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE 'About ' || s_name END AS full_description,
+  'Calm' AS benefits, CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE 'About ' || s_name END AS full_description,
   CASE WHEN s_suppkey % 3 = 0 THEN 'partial' ELSE 'success' END AS extraction_status,
-  CASE WHEN s_suppkey % 3 = 0 THEN 'full_description,' ELSE '' END ||
-    'ingredient_categories,at_a_glance_points,synonyms,concerns,safety_notes' AS missing_fields
+  CASE WHEN s_suppkey % 3 = 0 THEN 'full_description|' ELSE '' END ||
+    'ingredient_categories|at_a_glance_points|synonyms|concerns|safety_notes' AS missing_fields,
+  {_nulls("varchar", "raw_file_path", "ingredient_categories", "at_a_glance_points", "synonyms", "concerns",
+          "safety_notes", "related_ingredients")}
 FROM (SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN 'Vitamin B3' ELSE s_name END AS s_name FROM supplier)""")
 def _(d):
     k = F.col("s_suppkey")
@@ -213,15 +223,22 @@ def _(d):
         "<body><main><h1> ", name, "</h1><span>Rating: good</span><div>Benefits: <a>Calm</a></div>", text, "</main></body>").alias("html"))
     out = build_ingredient_dictionary(pages, "20260518_111454", "third", BASE, "2026-05-18T11:14:54",
                                       partitions=d.spark.sparkContext.defaultParallelism)
-    return out.select("record_id", "ingredient_url", "raw_ingredient_name", "canonical_ingredient_name", "rating",
-                      "full_description", "extraction_status", F.array_join("missing_fields", ",").alias("missing_fields"))
-
-
-@query("source_products", """
-SELECT cast(p_partkey AS varchar) AS record_id, 'https://shop.example.com/p/' || p_partkey AS product_url,
-  p_name AS product_name, p_brand AS brand_name, '$' || p_size AS price, p_type || '|' || p_brand || '.' AS raw_ingredients_list,
-  'partial' AS extraction_status, 'raw_category,product_description,rating,review_count,size,image_url,availability,' ||
-  'skin_type_claims,skin_concern_claims,product_highlights,usage_instructions' AS missing_fields FROM part""")
+    return flat(out)
+
+
+@query("source_products", f"""
+SELECT cast(p_partkey AS varchar) AS record_id, 'b' AS batch_id, 'second' AS source_name, 'website' AS source_type,
+  'https://shop.example.com' AS source_url, cast(p_partkey AS varchar) AS source_product_id,
+  'https://shop.example.com/p/' || p_partkey AS product_url, p_name AS product_name, p_brand AS brand_name,
+  p_type || ', , ' || p_brand || '. For the latest information' AS ingredients_text,
+  p_type || '|' || p_brand || '.' AS raw_ingredients_list, '$' || p_size AS price, 'USD' AS currency,
+  'partial' AS extraction_status, 'raw_category|product_description|rating|review_count|size|image_url|availability|' ||
+  'skin_type_claims|skin_concern_claims|product_highlights|usage_instructions' AS missing_fields,
+  '2026-05-18T11:14:54.000000' AS scraped_at, '2026-05-18' AS ingestion_date, 'v1' AS pipeline_version,
+  cast(NULL AS double) AS rating, cast(NULL AS int) AS review_count,
+  {_nulls("varchar", "raw_category", "product_description", "sale_price", "size", "image_url", "availability",
+          "skin_type_claims", "skin_concern_claims", "product_highlights", "usage_instructions", "raw_file_path")}
+FROM part""")
 def _(d):
     k = F.col("p_partkey")
     pages = d.part.select(html(BASE + "/p/", k).alias("url"), html(
@@ -231,9 +248,7 @@ def _(d):
         F.col("p_type"), ", , ", F.col("p_brand"), ". For the latest information<p>Another note<li>a<li>b</div>").alias("html"))
     out = build_source_products(pages, "b", "second", BASE, "2026-05-18T11:14:54",
                                 partitions=d.spark.sparkContext.defaultParallelism)
-    return out.select("record_id", "product_url", "product_name", "brand_name", "price",
-                      F.array_join("raw_ingredients_list", "|").alias("raw_ingredients_list"),
-                      "extraction_status", F.array_join("missing_fields", ",").alias("missing_fields"))
+    return flat(out)
 
 
 def _source_pages(d):
