@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from silverline.sources.shared import fresh_path
+
 SPACE = r"[\x20\x09-\x0D]"
 SAMPLE_PARTS = 64
 SPACES = " \t\n\x0b\x0c\r"
@@ -58,3 +60,15 @@ def batches(rows: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBat
     for batch in rows:
         for start in range(0, batch.num_rows, limit):
             yield batch.slice(start, limit)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared folder once, by columns, and read again."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def numbered(df: DataFrame, name: str = "rows") -> DataFrame:
+    """The rows with a unique number in `row`, stored so that every reader sees the same ones."""
+    return stored(df.withColumn("row", F.monotonically_increasing_id()), name)
