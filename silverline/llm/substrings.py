@@ -19,13 +19,15 @@ lies within.
    rows of a key agree in their digest, all their windows are repeats.
 3. Where rows of a key differ, one row of each digest is compared window by window: documents
    meet these rows, and digests of single windows are counted.
-4. Documents meet their repeats by id and are written without them.
+4. Documents meet their repeats by row number and are written without them.
 
 Digests of words have 128 bits (keys 64, which only ever costs a comparison). Sums run over
 partial aggregates, and the joins back to rows are ones that adaptive execution may split, so
 a passage that a third of all documents share is spread like any other. Long documents are
 read in stretches that overlap by a window, so memory does not follow their length.
 
+Rows are numbered and stored once; the number is a row's place everywhere.
+
 Cases: null texts have no words; shorter texts than a window keep all; rows sharing an id are
 separate documents (each a place where a window may start); a null id likewise; an empty
 table gives an empty result.
@@ -40,14 +42,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from silverline.llm.common import batches, raw_texts
+from silverline.llm.common import batches, numbered, raw_texts
 from silverline.sources.shared import fresh_path
 
 WINDOW = 35
 ROUNDS = ("run", "pair", "pair", "pair", "pair", "pair")
 STRETCH = 1 << 15
 BLOCK = 1 << 17
-TAG = 1 << 24
 END = np.uint64(0)
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD))
@@ -217,14 +218,14 @@ def _stretches(texts: list[np.ndarray], window: int) -> Iterator[list[tuple[int,
 
 
 def _anchor_rows(window: int):
-    """(doc, tag, key, digest, start, count): a row for each run of windows with one anchor."""
-    names = ["doc", "tag", "key", "digest", "start", "count"]
+    """(row, key, digest, start, count): a row for each run of windows with one anchor."""
+    names = ["row", "key", "digest", "start", "count"]
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader()
         for batch in batches(rows, 512):
-            docs, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            texts = [reader.words(t) for t in raw_texts(batch.column(2))]
+            numbers = batch.column(0).to_numpy()
+            texts = [reader.words(t) for t in raw_texts(batch.column(1))]
             for group in _stretches(texts, window):
                 sizes = np.array([len(p) for _, _, p in group])
                 words = np.concatenate([x for _, _, p in group for x in ([END], p)] + [[END]])
@@ -246,7 +247,7 @@ def _anchor_rows(window: int):
                 owner = np.array([n for n, _, _ in group])[part[first]]
                 offset = np.array([at for _, at, _ in group])[part[first]]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(docs[owner]), pa.array(tags[owner]),
+                    pa.array(numbers[owner]),
                     pa.array(digests(low, high).view(np.int64)),
                     pa.array(digests(wanted[first], wanted[last] + window, 1).view(np.int64)),
                     pa.array((offset + inner[first]).astype(np.int32)),
@@ -255,12 +256,12 @@ def _anchor_rows(window: int):
 
 
 def _window_rows(window: int):
-    """(h, g, doc, tag, start, lone): single windows of the chosen rows, with their digests."""
+    """(h, g, row, start, lone): single windows of the chosen rows, with their digests."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader()
         for batch in batches(rows, 256):
-            for doc, tag, text, chosen in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
-                                              raw_texts(batch.column(2)), batch.column(3).to_pylist()):
+            for row, text, chosen in zip(batch.column(0).to_pylist(), raw_texts(batch.column(1)),
+                                         batch.column(2).to_pylist()):
                 words = reader.words(text)
                 start = np.array([c["start"] for c in chosen])
                 count = np.array([c["count"] for c in chosen])
@@ -275,9 +276,8 @@ def _window_rows(window: int):
                     both.append(mixed(total).view(np.int64))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(both[0]), pa.array(both[1]),
-                    pa.array(np.full(len(at), doc)), pa.array(np.full(len(at), tag, np.int32)),
-                    pa.array(at.astype(np.int32)), pa.array(lone)],
-                    ["h", "g", "doc", "tag", "start", "lone"])
+                    pa.array(np.full(len(at), row)), pa.array(at.astype(np.int32)), pa.array(lone)],
+                    ["h", "g", "row", "start", "lone"])
     return run
 
 
@@ -289,21 +289,20 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def repeats(texts: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc, tag, start, count): window starts whose words also start elsewhere.
+    """(row, start, count): window starts whose words also start elsewhere.
 
-    From (doc, tag, text), where doc and tag tell the rows apart.
+    From stored (row, text), where each row has a number of its own.
     """
-    place = ["doc", "tag", "start", "count"]
+    place = ["row", "start", "count"]
     rows = _stored(texts.mapInArrow(
-        _anchor_rows(window), "doc long, tag int, key long, digest long, start int, count byte"), "anchors")
+        _anchor_rows(window), "row long, key long, digest long, start int, count byte"), "anchors")
     keys = (rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("digest").alias("low"),
                                     F.max("digest").alias("high")).filter("n > 1")
             .select("key", (F.col("low") == F.col("high")).alias("same")))
-    packed = rows.select("key", "digest", "doc", F.expr(
-        "shiftleft(cast(tag as bigint), 40) | shiftleft(cast(start as bigint), 8) | count").alias("at"))
+    packed = rows.select("key", "digest", "row", F.expr(
+        "shiftleft(cast(start as bigint), 8) | count").alias("at"))
     shared = packed.join(_stored(keys, "keys"), "key").select(
-        "key", "digest", "doc", "same", F.expr("cast(shiftrightunsigned(at, 40) as int)").alias("tag"),
-        F.expr("cast(shiftrightunsigned(at, 8) & 4294967295 as int)").alias("start"),
+        "key", "digest", "row", "same", F.expr("cast(shiftrightunsigned(at, 8) as int)").alias("start"),
         F.expr("cast(at & 255 as int)").alias("count"))
     shared = _stored(shared, "shared")
     mixed_rows = shared.filter("not same")
@@ -312,14 +311,14 @@ def repeats(texts: DataFrame, window: int = WINDOW) -> DataFrame:
     whole = (mixed_rows.join(digests.filter("n > 1").select("key", "digest"), ["key", "digest"])
              .select(*place).union(shared.filter("same").select(*place)))
     chosen = (digests.select("one.*", (F.col("n") == 1).alias("lone"))
-              .groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "count", "lone")).alias("chosen")))
-    windows = texts.join(chosen, ["doc", "tag"]).select("doc", "tag", "text", "chosen").mapInArrow(
-        _window_rows(window), "h long, g long, doc long, tag int, start int, lone boolean")
+              .groupBy("row").agg(F.collect_list(F.struct("start", "count", "lone")).alias("chosen")))
+    windows = texts.join(chosen, "row").select("row", "text", "chosen").mapInArrow(
+        _window_rows(window), "h long, g long, row long, start int, lone boolean")
     windows = _stored(windows, "windows")
     twice = (windows.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
              .select("h", "g"))
     single = (windows.filter("lone").join(_stored(twice, "twice"), ["h", "g"])
-              .select("doc", "tag", "start", F.lit(1).alias("count")))
+              .select("row", "start", F.lit(1).alias("count")))
     return whole.union(single)
 
 
@@ -349,12 +348,10 @@ def _without(window: int):
 def dedup_substrings(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
                      window: int = WINDOW) -> DataFrame:
     """(doc_id, kept_text, n_words, n_removed), one row per row; kept words joined by one space."""
-    texts = docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    texts = texts.select("doc_id", F.coalesce("doc_id", F.lit(-1 << 63)).alias("doc"),
-                         F.pmod(F.xxhash64("text", F.col("doc_id").isNull()), F.lit(TAG)).cast("int").alias("tag"), "text")
-    found = (repeats(texts.select("doc", "tag", "text"), window)
-             .groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "count")).alias("gone")))
-    met = texts.join(found, ["doc", "tag"], "left")
+    texts = numbered(docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")))
+    found = (repeats(texts.select("row", "text"), window)
+             .groupBy("row").agg(F.collect_list(F.struct("start", "count")).alias("gone")))
+    met = texts.join(found, "row", "left")
     return met.select("doc_id", "text", "gone").mapInArrow(
         _without(window), "doc_id long, kept_text string, n_words long, n_removed long")

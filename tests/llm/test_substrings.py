@@ -2,6 +2,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from conftest_llm import prose
 from silverline.llm import substrings
@@ -75,3 +76,20 @@ def test_support_decides_a_symbol():
                        enumerate(substrings.parse(whole)) for s, a, b in zip(sym, low, high)
                        if a >= n + 1 and b <= n + 1 + 60})
     assert places[0] == places[1] and max(k for k, _, _ in places[0]) == len(substrings.ROUNDS)
+
+
+def test_rows_with_null_ids_are_told_apart(spark, docs):
+    """Two texts with one 24-bit hash, by which rows were once told apart, and one id."""
+    rng = np.random.default_rng(8)
+    passage = prose(rng, 40)
+    texts = spark.range(20000).select(F.concat(F.lit("own"), "id", F.lit(" "), F.lit(passage)).alias("text"))
+    pair = (texts.groupBy(F.pmod(F.xxhash64("text", F.lit(True)), F.lit(1 << 24)).alias("tag"))
+            .agg(F.collect_list("text").alias("texts")).filter("size(texts) > 1").first())
+    one, two = pair.texts[:2]
+    check(docs, [(None, one), (None, two), (None, "short")], 35)
+    spare = (spark.range(20000).select(F.concat(F.lit("w"), "id").alias("text"))
+             .union(spark.range(20000).select(F.concat(F.lit("q"), "id", F.lit(" "), F.lit(passage))))
+             .groupBy(F.pmod(F.xxhash64("text", F.lit(True)), F.lit(1 << 24)).alias("tag"))
+             .agg(F.min("text").alias("long"), F.max("text").alias("short"))
+             .filter("long like 'q%' and short like 'w%'").first())
+    check(docs, [(None, spare.long), (None, spare.short), (1, passage)], 35)
