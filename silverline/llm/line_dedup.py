@@ -3,13 +3,14 @@
 A line's key is the line without white space at its ends and with A-Z in lower case. A key of
 at least `min_chars` code points that two documents hold stays only in the smallest of them.
 
-1. Each document's distinct keys become 128-bit digests, stored once (24 bytes a line).
+1. Rows are numbered and stored; the distinct keys of each become 128-bit digests with the row's
+   number and document, stored once (32 bytes a line).
 2. The filters are cut into chunks by the digest's leading bits. A batch sends each chunk the
    keys it holds, once per batch however many of its documents hold them. The chunk marks them
    in its once-seen filter, and in its twice-seen filter if they were marked there before.
 3. The twice-seen filter is broadcast. Keys that it does not hold are certainly unique and go
    no further; only suspects shuffle, to be counted exactly and to find their first document.
-4. Documents meet their dropped keys by id and are written without them.
+4. Rows meet their dropped keys by number and are written without them.
 
 The filter grows with the lines, 16 bits each, so it is bounded: a pass covers at most
 `max_filter_bytes` of it and beyond that there are further passes, each over its own range of
@@ -33,7 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from silverline.llm.common import batches, raw_texts
+from silverline.llm.common import batches, numbered, raw_texts
 from silverline.sources.shared import durable
 
 CHUNK_BITS = 20
@@ -53,18 +54,23 @@ def line_key(line: bytes, min_chars: int) -> bytes | None:
 
 
 def _digests(min_chars: int):
-    """(doc, h, g): the distinct keys of each document as two halves of a 128-bit digest."""
+    """(doc, h, g): the distinct keys of each document as two halves of a 128-bit digest.
+
+    From (doc, text), or with the number of each row from (doc, text, row).
+    """
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(rows, 1024):
-            docs, found = [], []
-            for doc, text in zip(batch.column(0).to_pylist(), raw_texts(batch.column(1))):
+            sizes, found = [], []
+            for text in raw_texts(batch.column(1)):
                 keys = {line_key(x, min_chars) for x in (text or b"").split(b"\n")} - {None}
                 found += [xxhash.xxh3_128_digest(k) for k in keys]
-                docs += [doc] * len(keys)
+                sizes.append(len(keys))
             pair = np.frombuffer(b"".join(found), np.int64).reshape(-1, 2)
+            at = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+            rest = [c.take(at) for c in (batch.column(0), *batch.columns[2:])]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(docs, pa.int64()), pa.array(pair[:, 0]), pa.array(pair[:, 1])],
-                ["doc", "h", "g"])
+                [rest[0], pa.array(pair[:, 0]), pa.array(pair[:, 1]), *rest[1:]],
+                ["doc", "h", "g", "row"][:len(rest) + 2])
     return run
 
 
@@ -137,7 +143,7 @@ def _filter_bits(sightings: DataFrame, chunks: int) -> np.ndarray:
 
 def repeated_keys(digests: DataFrame, max_filter_bytes: int = MAX_FILTER_BYTES,
                   lines_a_chunk: int = LINES_A_CHUNK) -> DataFrame:
-    """(doc, h, g): digests that a smaller document holds too."""
+    """The rows of (doc, h, g) or (doc, h, g, row) whose digest a smaller document holds too."""
     spark = digests.sparkSession
     chunks_a_pass = max(1, 1 << int(math.log2(max(1, max_filter_bytes >> CHUNK_BITS - 3))))
     needed = max(1, digests.count() / lines_a_chunk)
@@ -152,12 +158,12 @@ def repeated_keys(digests: DataFrame, max_filter_bytes: int = MAX_FILTER_BYTES,
         seen = own.mapInArrow(_sightings(chunk_bits), "chunk long, keys binary, again binary")
         bits = _filter_bits(seen, 1 << chunk_bits)
         found = own.mapInArrow(_suspects(spark.sparkContext.broadcast(bits), chunk_bits),
-                               "doc long, h long, g long")
+                               ", ".join(f"{c} long" for c in digests.columns))
         suspects = found if suspects is None else suspects.union(found)
     firsts = (suspects.groupBy("h", "g").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
               .filter("first < last").drop("last"))
     firsts = durable(firsts)  # so that the join is one that adaptive execution may split
-    return suspects.join(firsts, ["h", "g"]).filter("doc > first").select("doc", "h", "g")
+    return suspects.join(firsts, ["h", "g"]).filter("doc > first").select(*digests.columns)
 
 
 def _without(min_chars: int):
@@ -185,14 +191,13 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min
                 max_filter_bytes: int = MAX_FILTER_BYTES, keep: list[str] | None = None) -> DataFrame:
     """(doc_id, kept_text, n_lines, n_dropped) and the columns named in `keep`, one row per row."""
     rest = F.struct(*[F.col(c) for c in keep]) if keep else F.lit(None).cast("int")
-    source = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"),
-                         F.col(text).alias("text"))
-    digests = durable(source.mapInArrow(_digests(min_chars), "doc long, h long, g long"))
+    whole = numbered(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"),
+                                 rest.alias("rest")))
+    source = whole.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "text", "row")
+    digests = durable(source.mapInArrow(_digests(min_chars), "doc long, h long, g long, row long"))
     drops = (repeated_keys(digests, max_filter_bytes)
-             .groupBy("doc").agg(F.collect_list(F.struct("h", "g")).alias("drops")))
-    whole = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"),
-                        rest.alias("rest"))
-    met = whole.join(drops, F.coalesce("doc_id", F.lit(NO_ID)) == F.col("doc"), "left")
+             .groupBy("row").agg(F.collect_list(F.struct("h", "g")).alias("drops")))
+    met = whole.join(drops, "row", "left")
     kind = dict(met.select("rest").dtypes)["rest"]
     out = met.select("doc_id", "text", "drops", "rest").mapInArrow(
         _without(min_chars),

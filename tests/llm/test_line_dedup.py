@@ -51,3 +51,13 @@ def test_several_passes_give_the_same(docs):
     one = line_dedup.repeated_keys(digests)
     many = line_dedup.repeated_keys(digests, 2 << line_dedup.CHUNK_BITS - 3, digests.count() // 6)
     assert sorted(one.collect()) == sorted(many.collect()) and one.count()
+
+
+def test_dropped_lines_are_listed_by_row(docs, monkeypatch):
+    """No list of dropped lines holds more than one row's, however many rows share an id."""
+    lines = [f"line number {i} of the pool" for i in range(60)]
+    rows = [(1, "\n".join(lines))] + [(i, "\n".join(lines[3 * n:3 * n + 3])) for n in range(20) for i in (None, 7)]
+    inner, found = line_dedup.repeated_keys, []
+    monkeypatch.setattr(line_dedup, "repeated_keys", lambda *a: found.append(inner(*a)) or found[-1])
+    assert got(line_dedup.dedup_lines(docs(rows))) == brute(rows)
+    assert max(r["count"] for r in found[0].groupBy("row").count().collect()) == 3
