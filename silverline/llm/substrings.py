@@ -251,7 +251,7 @@ def _anchor_rows(window: int):
                     pa.array(digests(low, high).view(np.int64)),
                     pa.array(digests(wanted[first], wanted[last] + window, 1).view(np.int64)),
                     pa.array((offset + inner[first]).astype(np.int32)),
-                    pa.array((last - first + 1).astype(np.int8))], names)
+                    pa.array((last - first + 1).astype(np.int32))], names)
     return run
 
 
@@ -295,15 +295,15 @@ def repeats(texts: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     place = ["row", "start", "count"]
     rows = _stored(texts.mapInArrow(
-        _anchor_rows(window), "row long, key long, digest long, start int, count byte"), "anchors")
+        _anchor_rows(window), "row long, key long, digest long, start int, count int"), "anchors")
     keys = (rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("digest").alias("low"),
                                     F.max("digest").alias("high")).filter("n > 1")
             .select("key", (F.col("low") == F.col("high")).alias("same")))
     packed = rows.select("key", "digest", "row", F.expr(
-        "shiftleft(cast(start as bigint), 8) | count").alias("at"))
+        "shiftleft(cast(start as bigint), 32) | count").alias("at"))
     shared = packed.join(_stored(keys, "keys"), "key").select(
-        "key", "digest", "row", "same", F.expr("cast(shiftrightunsigned(at, 8) as int)").alias("start"),
-        F.expr("cast(at & 255 as int)").alias("count"))
+        "key", "digest", "row", "same", F.expr("cast(shiftrightunsigned(at, 32) as int)").alias("start"),
+        F.expr("cast(at & 4294967295 as int)").alias("count"))
     shared = _stored(shared, "shared")
     mixed_rows = shared.filter("not same")
     digests = _stored(mixed_rows.groupBy("key", "digest").agg(

@@ -93,3 +93,9 @@ def test_rows_with_null_ids_are_told_apart(spark, docs):
              .agg(F.min("text").alias("long"), F.max("text").alias("short"))
              .filter("long like 'q%' and short like 'w%'").first())
     check(docs, [(None, spare.long), (None, spare.short), (1, passage)], 35)
+
+
+def test_windows_wider_than_a_byte(docs):
+    rng = np.random.default_rng(6)
+    shared = prose(rng, 900)
+    check(docs, [(i, f"{prose(rng, 50)} {shared} {prose(rng, 50)}") for i in range(3)], 400)
