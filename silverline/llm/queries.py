@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from silverline.llm import (chat, langid, line_dedup, mixing, neighbours, packing, quality, simhash,
-                            substrings, toxicity)
+from silverline.llm import (chat, divergence, langid, line_dedup, mixing, neighbours, packing, quality,
+                            resampling, simhash, substrings, toxicity)
 from silverline.llm.common import held_out
 from silverline.queries.folder import use_local_folder
 
@@ -194,3 +194,84 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(_table(spark, folder, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "quality")
+
+
+@_query("op11_divergence", r"""
+WITH filled AS (
+  SELECT row_number() OVER () AS r, coalesce(text, '') AS text, coalesce(lang, '') AS lang,
+    coalesce(source, '') AS source FROM documents),
+found AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM filled),
+whole AS (
+  SELECT lang, term, count(*) AS n FROM found GROUP BY ALL HAVING count(DISTINCT r) >= 30),
+counted AS (
+  SELECT lang, source, term, count(*) AS n FROM found JOIN whole USING (lang, term) GROUP BY ALL),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS n FROM whole GROUP BY lang),
+groups AS (
+  SELECT lang, source, v, langs.n AS ln, coalesce(c.n, 0) AS gn
+  FROM (SELECT DISTINCT lang, source FROM filled) LEFT JOIN langs USING (lang)
+  LEFT JOIN (SELECT lang, source, sum(n) AS n FROM counted GROUP BY ALL) c USING (lang, source)),
+shares AS (
+  SELECT g.lang, g.source, w.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (g.gn + 5 * g.v) AS p,
+    1 + (1000000000::HUGEINT * (w.n + 5)) // (g.ln + 5 * g.v) AS q
+  FROM groups g JOIN whole w USING (lang) LEFT JOIN counted c USING (lang, source, term)),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(d.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+    FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source
+    GROUP BY ALL) d ON d.lang = a.lang AND d.source = a.source AND d.item = b.source),
+over AS (
+  SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM over))
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM ranked
+WHERE part = 'pair' OR rank <= 50""")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(_table(spark, folder, "documents"))
+
+
+@_query("op13_resampling", r"""
+WITH RECURSIVE
+steps AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k:
+    CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS step),
+texts AS (
+  SELECT 's' AS side, row_number() OVER () AS r, doc_id, text FROM documents
+  UNION ALL SELECT 't', row_number() OVER (), NULL, text FROM benchmark),
+words AS (
+  SELECT side, r, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM texts),
+named AS (SELECT DISTINCT word, hex(encode(word)) AS bytes FROM words),
+hashed AS (
+  SELECT word, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+      range(length(bytes) // 2), lambda i: ('0x' || substr(bytes, 2 * i + 1, 2))::BIGINT)),
+    lambda c, b: xor(c // 256, step[xor(c % 256, b) + 1])), 4294967295) % 10000 AS bucket
+  FROM named, steps),
+features AS (SELECT side, r, bucket, count(*) AS n FROM words JOIN hashed USING (word) GROUP BY ALL),
+counts AS (
+  SELECT bucket, coalesce(sum(n) FILTER (WHERE side = 's'), 0)::DOUBLE AS s,
+    coalesce(sum(n) FILTER (WHERE side = 't'), 0)::DOUBLE AS t FROM features GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000)
+    / ((s + 1) * (sum(t) OVER () + 10000))))::BIGINT AS gain FROM counts),
+weights AS (
+  SELECT r, sum(n)::BIGINT AS n_features, floor(sum(n * gain)::DOUBLE / sum(n))::BIGINT AS weight
+  FROM features JOIN gains USING (bucket) WHERE side = 's' GROUP BY r),
+scored AS (
+  SELECT doc_id, r, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT
+      + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM texts LEFT JOIN weights USING (r) WHERE side = 's'),
+ranked AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS able
+  FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * able // 100 THEN rank END AS rank
+FROM scored LEFT JOIN ranked USING (r)""")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    drawn = resampling.resample(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
