@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from silverline.llm import (chat, divergence, langid, line_dedup, mixing, neighbours, packing, quality,
-                            resampling, simhash, substrings, toxicity)
+                            resampling, secrets, simhash, substrings, toxicity)
 from silverline.llm.common import held_out
 from silverline.queries.folder import use_local_folder
 
@@ -235,6 +235,15 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(_table(spark, folder, "documents"))
 
 
+@_query("op12_secrets")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    found = secrets.scan(docs, secrets.fit(secrets.labelled_values(docs)))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex",
+                        F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"),
+                        "spans", "n_format", "values")
+
+
 @_query("op13_resampling", r"""
 WITH RECURSIVE
 steps AS (
