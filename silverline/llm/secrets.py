@@ -4,7 +4,7 @@ Base spans are the matches of three patterns: `assign` (a keyword, = or :, a val
 or more), `access` (AKIA and capitals or digits, 20 characters) and `hex` (24 characters).
 
 What the base finds is a labelled sample of credentials, and every other candidate a sample of what
-is none. A candidate is a maximal run of `ALPHABET` characters, at least `LEAST` long, without dots
+is none, labelled `number` if it has digits only and else `other`. A candidate is a maximal run of `ALPHABET` characters, at least `LEAST` long, without dots
 at its ends. For each label a probabilistic automaton is inferred from its distinct values:
 
 1. Their prefix tree counts how often each state is passed, left by each symbol, and ended in.
@@ -15,10 +15,10 @@ at its ends. For each label a probabilistic automaton is inferred from its disti
    a state never saw leads to the settled state that follows it most often.
 
 A candidate's score is its log-likelihood under the best credential automaton less that under the
-`other` automaton, in bits a symbol, ending included. It is a span of kind `format` if it has more
-than `MARGIN` bits, more than all but a thousandth of the training values of `other`, and more than
-halfway from those to what all but a hundredth of the training credentials reach. Candidates that
-touch a base span are left to the base. The `other` automaton also learns its values in capitals,
+best automaton of plain candidates, in bits a symbol, ending included. It is a span of kind `format`
+if it has more than `MARGIN` bits, more than all but a thousandth of the plain training values, and
+more than halfway from those to what all but a hundredth of the training credentials (of `LEAST`
+symbols) reach. Candidates that touch a base span are left to the base. The `other` automaton also learns its values in capitals,
 as ordinary words do not become credentials when a heading writes them so.
 
 Sampling is the only bound: `PER_LABEL` distinct values a label, those with the smallest hashes, of
@@ -27,7 +27,7 @@ one task; the automata (bounded by PER_LABEL * WINDOW states) are broadcast. All
 whole for labels and again for spans; only the few runs of `LEAST` symbols are looked at in Python.
 
 Cases: null and empty texts have no spans; a label with fewer than `FEWEST` values has no automaton,
-and without one of `other` or of any credential nothing is added; equal starts go by kind, then
+and without one of plain values or of any credential nothing is added; equal starts go by kind, then
 end; repeated rows repeat their result, and repeated values are learned once; texts and candidates
 may have any length; an empty table gives an empty result; other columns are not read.
 """
@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame, functions as F
 from silverline.llm.common import batches, raw_texts, sample_by_hash, stored
 
 KINDS = ["assign", "access", "hex", "format"]
-OTHER = "other"
+OTHER, NUMBER = "other", "number"
 LEAST = 16
 PER_LABEL, WINDOW, FEWEST = 1000, 128, 20
 ALPHA = 0.3
@@ -122,7 +122,8 @@ def _labelled(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text, runs in zip(texts, long_runs(texts)):
             base = base_spans(text, runs)
             seen.update((KINDS[kind], text[value:end]) for _, kind, end, value in base)
-            seen.update((OTHER, text[a:b]) for a, b in candidates(text, runs, base))
+            rest = [text[a:b] for a, b in candidates(text, runs, base)]
+            seen.update((NUMBER if v.isdigit() else OTHER, v) for v in rest)
         pairs = sorted(seen)
         yield pa.RecordBatch.from_arrays(
             [pa.array([k for k, _ in pairs], pa.string()), pa.array([_window(v) for _, v in pairs], pa.string())],
@@ -267,14 +268,15 @@ class Format:
 class Formats:
     """The credential formats against the one of other candidates."""
     credentials: list[Format]
-    other: Format | None
+    others: list[Format]
     least: float = MARGIN
 
     def score(self, value: str) -> float:
         """Bits a symbol by which the best credential format is likelier."""
-        if not self.credentials or self.other is None:
+        if not self.credentials or not self.others:
             return float("-inf")
-        return (max(f.score(value) for f in self.credentials) - self.other.score(value)) / (len(value) + 1)
+        best, plain = (max(f.score(value) for f in own) for own in (self.credentials, self.others))
+        return (best - plain) / (len(value) + 1)
 
 
 def _fit_label(group: pd.DataFrame) -> pd.DataFrame:
@@ -297,11 +299,12 @@ def fit(values: DataFrame) -> Formats:
     rows = (values.join(enough, "label", "left_semi").groupBy("label")
             .applyInPandas(_fit_label, "label string, automaton string").collect())
     learned = {r["label"]: Format(Automaton(**json.loads(r["automaton"]))) for r in rows}
-    formats = Formats([learned[k] for k in KINDS if k in learned], learned.get(OTHER))
-    bits = {k: [formats.score(r["value"]) for r in values.filter((F.col("label") == OTHER) == k).collect()]
-            for k in (False, True)}  # PER_LABEL a label at most
-    if formats.credentials and formats.other:
-        low, high = np.quantile(bits[True], 0.999), np.quantile(bits[False], 0.01)
+    formats = Formats(*[[learned[k] for k in own if k in learned] for own in (KINDS, (OTHER, NUMBER))])
+    plain = F.col("label").isin(OTHER, NUMBER)
+    known = values.filter(plain | (F.length("value") >= LEAST))
+    scores = [[formats.score(r["value"]) for r in known.filter(own).collect()] for own in (plain, ~plain)]
+    if all(scores):  # PER_LABEL values a label at most
+        low, high = np.quantile(scores[0], 0.999), np.quantile(scores[1], 0.01)
         formats.least = float(max(MARGIN, low, (low + high) / 2))
     return formats
 
