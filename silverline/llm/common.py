@@ -17,6 +17,7 @@ from silverline.sources.shared import fresh_path
 
 SPACE = r"[\x20\x09-\x0D]"
 SAMPLE_PARTS = 64
+WINDOWS = 8
 SPACES = " \t\n\x0b\x0c\r"
 
 
@@ -55,6 +56,14 @@ def sample_by_hash(df: DataFrame, group: str, key: str, size: int) -> DataFrame:
     return thin.withColumn("_n", F.row_number().over(whole)).filter(F.col("_n") <= size).drop("_n")
 
 
+def text_windows(text: str, max_chars: int) -> Column:
+    """A text, or of a longer one `WINDOWS` stretches spread evenly over it, `max_chars` in all."""
+    size = max_chars // WINDOWS
+    parts = [F.substring(F.col(text), (F.floor((F.length(text) - size) * i / (WINDOWS - 1)) + 1).cast("int"), F.lit(size))
+             for i in range(WINDOWS)]
+    return F.when(F.length(text) <= max_chars, F.col(text)).otherwise(F.concat_ws(" ", *parts))
+
+
 def batches(rows: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of at most `limit`, to bound what a task holds as objects."""
     for batch in rows:

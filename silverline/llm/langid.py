@@ -8,14 +8,16 @@ centroid with the highest cosine; `score` is that cosine. Where it lies further
 nearly all training texts of that centroid, `rejected` is true: the language is still the
 nearest one, but not to be relied on.
 
-The classifier is fitted on the driver from at most `per_language` training documents of each
-language, each at most `max_chars` long, picked by the hash of their ids: a bounded sample,
-whatever the size of the corpus. Every document is then scored whole, in blocks, with memory
-for one block.
+Document frequencies are counted over all training texts, whole. Centroids come from at most
+`per_language` training documents of each language, picked by the hash of their ids, and of a text
+longer than `max_chars` from stretches all over it: a bounded sample, clustered in one task per
+language. Only frequencies and centroids reach the driver. Every document is then scored whole, in
+blocks, with memory for one block.
 
 Cases: a null text, or one without a letter, is `und` with score 0 and not rejected; a null
 `lang` is never learned; without any training document everything is `und`; repeated rows
-repeat their result; other columns are ignored.
+repeat their result; of documents sharing an id and a language the smallest text is clustered;
+between equally near centroids the language that sorts first wins; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,10 +26,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from silverline.llm.common import batches, sample_by_hash
+from silverline.llm.common import batches, sample_by_hash, text_windows
 
 DIM = 1 << 13
 BLOCK = 1 << 18
@@ -98,43 +101,74 @@ def _clusters(points: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     return centres
 
 
-def fit(rows: list[tuple[str, str]], centroids: int = CENTROIDS) -> Centroids:
-    """Fit from (text, language) pairs in a fixed order."""
-    rows = [(t, x) for t, x in rows if has_letter(t)]
+def damped(texts: list[str], idf: np.ndarray) -> np.ndarray:
+    """Unit vectors of texts, a row each."""
+    points = np.stack([np.sqrt(gram_counts(t)) for t in texts]) * idf
+    return (points / np.maximum(np.linalg.norm(points, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+
+
+def inverse_frequencies(held: np.ndarray, count: int) -> np.ndarray:
+    """From how many of `count` texts hold each gram."""
+    return np.log((1 + count) / (1 + held)) + 0.1
+
+
+def centroids_of(texts: list[str], idf: np.ndarray, centroids: int = CENTROIDS) -> tuple[np.ndarray, list[float]]:
+    """The centroids of one language's texts, and the cosine that nearly all of their texts reach."""
+    points = damped(texts, idf)
+    found = _clusters(points, centroids)
+    near = points @ found.T
+    nearest = np.argmax(near, axis=1)
+    own = [near[nearest == c, c] for c in range(len(found))]
+    return found, [float(np.quantile(x, 0.005)) if len(x) else 0.0 for x in own]
+
+
+def _nothing() -> Centroids:
+    return Centroids(np.ones(DIM), np.zeros((0, DIM)), [], np.zeros(0))
+
+
+def fit(docs: DataFrame, usable: Column, per_language: int = PER_LANGUAGE, max_chars: int = MAX_CHARS,
+        centroids: int = CENTROIDS) -> Centroids:
+    """Fit to the usable rows of (doc_id, text, lang); only the centroids reach the driver."""
+    pool = docs.filter(usable & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") > 0))
+    held = pool.select("text").mapInArrow(_held, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
+    counts = {r["gram"]: r["n"] for r in held}  # DIM rows and one at most
+    if not counts.get(DIM):
+        return _nothing()
+    idf = inverse_frequencies(np.array([counts.get(g, 0) for g in range(DIM)]), counts[DIM])
+    shared = docs.sparkSession.sparkContext.broadcast(idf)
+
+    def clustered(group: pd.DataFrame) -> pd.DataFrame:
+        rows = [(hash_order(i), t) for i, t in zip(group["doc_id"], group["text"]) if has_letter(t)]
+        if not rows:
+            return pd.DataFrame({"lang": [], "centre": [], "least": []})
+        found, least = centroids_of([t for _, t in sorted(rows)], shared.value, centroids)
+        return pd.DataFrame({"lang": group["lang"].iloc[0], "centre": [c.astype(np.float32).tobytes() for c in found],
+                             "least": least})
+
+    picked = (sample_by_hash(pool.select("doc_id", "lang").distinct(), "lang", "doc_id", per_language)
+              .select("doc_id", "lang"))
+    # A language's group is `per_language` texts of `max_chars`; its result is a few centroids.
+    rows = (pool.join(picked, ["doc_id", "lang"]).select("doc_id", "lang", text_windows("text", max_chars).alias("text"))
+            .groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+            .groupBy("lang").applyInPandas(clustered, "lang string, centre binary, least double").collect())
     if not rows:
-        return Centroids(np.ones(DIM), np.zeros((0, DIM)), [], np.zeros(0))
-    points = np.zeros((len(rows), DIM), np.float32)
-    for i, (text, _) in enumerate(rows):
-        points[i] = np.sqrt(gram_counts(text))
-    idf = np.log((1 + len(rows)) / (1 + (points > 0).sum(axis=0))) + 0.1
-    points *= idf.astype(np.float32)
-    points /= np.maximum(np.linalg.norm(points, axis=1, keepdims=True), 1e-9)
-    langs = np.array([x for _, x in rows])
-    centres, names, least = [], [], []
-    for name in sorted(set(langs.tolist())):
-        own = points[langs == name]
-        found = _clusters(own, centroids)
-        near = own @ found.T
-        nearest = np.argmax(near, axis=1)
-        for c, centre in enumerate(found):
-            mine = near[nearest == c, c]
-            centres.append(centre)
-            names.append(name)
-            least.append(np.quantile(mine, 0.005) if len(mine) else 0.0)
-    return Centroids(idf, np.stack(centres), names, np.array(least))
-
-
-def training_rows(docs: DataFrame, usable: Column, per_language: int = PER_LANGUAGE,
-                  max_chars: int = MAX_CHARS) -> list[tuple[str, str]]:
-    """At most `per_language` (text, lang) pairs of each language, ordered by id hash."""
-    pool = docs.filter(usable & F.col("lang").isNotNull() & (F.length("text") <= max_chars)
-                       & F.col("doc_id").isNotNull())
-    picked = (sample_by_hash(pool.select("doc_id", "lang"), "lang", "doc_id", per_language)
-              .select("doc_id").distinct())
-    # At most `per_language` ids for each language, hence safe to broadcast and to collect.
-    rows = pool.join(F.broadcast(picked), "doc_id").select("doc_id", "text", "lang").collect()
-    rows.sort(key=lambda r: (r["lang"], hash_order(r["doc_id"]), r["text"]))
-    return [(r["text"], r["lang"]) for r in rows]
+        return _nothing()
+    rows.sort(key=lambda r: (r["lang"], r["centre"]))
+    return Centroids(idf, np.stack([np.frombuffer(r["centre"], np.float32) for r in rows]), [r["lang"] for r in rows],
+                     np.array([r["least"] for r in rows]))
+
+
+def _held(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(gram, n): how many of a task's texts hold each gram; gram DIM counts the texts."""
+    held = np.zeros(DIM + 1, np.int64)
+    for batch in batches(rows, 1024):
+        for text in batch.column(0):
+            own = text.as_py()
+            if has_letter(own):
+                held[:DIM] += gram_counts(own) > 0
+                held[DIM] += 1
+    at = np.nonzero(held)[0]
+    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(held[at])], ["gram", "n"])
 
 
 def hash_order(doc_id: int) -> int:

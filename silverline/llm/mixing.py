@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from silverline.llm.common import numbered, stored
 from silverline.operators.keyed import running_total
 from silverline.sources.shared import durable
 
@@ -130,7 +131,7 @@ def _laid_out(sized: DataFrame, sources: DataFrame, seed: str) -> DataFrame:
     rows = (sized.join(keys, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
             .withColumn("_mark", mark)
             .withColumn("_range", F.conv(F.substring("_mark", 1, 8), 16, 10).cast("long") % ranges)
-            .withColumn("row", F.monotonically_increasing_id()))
+            .withColumn("row", F.col("_row") if "_row" in sized.columns else F.monotonically_increasing_id()))
     rows = durable(rows)
     before = Window.partitionBy("sid").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     sums = (rows.groupBy("sid", "_range").agg(F.sum("size").alias("_sum"))
@@ -170,10 +171,11 @@ def _slots(sources: DataFrame, count: int, epochs: int) -> DataFrame:
 
 def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source",
         weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, block: int = BLOCK,
-        seed: str = SEED) -> Mix:
-    """Plan the mix of all rows of `docs`."""
+        seed: str = SEED, row: str | None = None) -> Mix:
+    """Plan the mix of all rows of `docs`; `row` names a column with a unique number of each, if there is one."""
+    number = [F.col(row).alias("_row")] if row else []
     sized = durable(docs.select(F.col(doc_id).cast("long").alias("doc_id"),
-                                F.col(source).alias("source"), word_count(text).alias("size")))
+                                F.col(source).alias("source"), word_count(text).alias("size"), *number))
     own = _sources(sized, weights, max_epochs, block)
     fine = own.agg(F.max("_upto")).first()[0] or 0
     sources = _arcs(own, fine)
@@ -182,20 +184,18 @@ def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """Rows of `docs`, each as often as the mix takes its words, to the nearest whole number.
+    """Rows of `docs` in the order of the mix: a copy at each slot that holds a row's middle word.
 
-    Rows with the same id, source and size share what is taken from them. Takes the columns
-    doc_id, source and text; others ride along.
+    So a row is repeated about as often as the mix takes its words, never more than `max_epochs`
+    times, and every stretch of the result has the wanted shares, as far as whole rows allow. The
+    result is sorted by ranges of slots, each a task. Takes the columns doc_id, source and text;
+    others ride along, whatever their names.
     """
-    plan = mix(docs, **options)
-    copies = (plan.taken().filter("size > 0").groupBy("doc_id", "source", "size")
-              .agg(F.sum("taken").alias("taken"), F.count(F.lit(1)).alias("rows"))
-              .select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"),
-                      F.col("size").alias("_size"),
-                      F.expr("(2 * taken + rows * size) div (2 * rows * size)").alias("_copies"))
-              .filter("_copies > 0"))
-    met = docs.withColumn("_words", word_count()).join(
-        durable(copies), F.col("doc_id").eqNullSafe(F.col("_id"))
-        & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_words") == F.col("_size")))
-    return (met.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-            .select(*docs.columns))
+    whole = numbered(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("rest"),
+                                 "doc_id", "source", "text"), "mix")
+    plan = mix(whole, row="row", **options)
+    middle = F.floor((F.col("start") + F.floor(F.col("size") / 2)) / plan.block)
+    placed = (plan.rows.filter("size > 0").select("sid", middle.alias("block"), "row", "start")
+              .join(plan.slots.select("sid", "block", "slot"), ["sid", "block"]).select("row", "slot", "start"))
+    return (whole.select("row", "rest").join(stored(placed, "placed"), "row")
+            .repartitionByRange("slot", "start").sortWithinPartitions("slot", "start").select("rest.*"))

@@ -77,7 +77,7 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op9_language_id")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
-    model = langid.fit(langid.training_rows(docs, ~held_out(F.col("doc_id"))))
+    model = langid.fit(docs, ~held_out(F.col("doc_id")))
     return langid.identify(docs, model).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
 

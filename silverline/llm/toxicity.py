@@ -3,11 +3,12 @@
 Two words are alike if they share many subsequences of three characters, each weighted by
 `DECAY` to the length it spans, so a word with characters slipped in or left out stays close
 to the plain one. A few hundred landmark words span the feature space (Nystroem) and a linear
-support vector machine is trained there. Its labelled examples are sentences, taken as bags of
-words: labels are per document, so a toxic document's sentences hold a toxic word somewhere.
-The machine is trained on the words that look most toxic so far (at first by how much oftener
-toxic documents hold them) against the words of clean sentences, then picks those words anew,
-and meets the clean words that it took for toxic.
+support vector machine is trained there. Labels are per document and not per sentence, so its
+examples are documents as bags of words, of which a toxic one holds a toxic word somewhere. The
+kernel is over single words (and letters spelt out): an insult made of several ordinary words is
+beyond it. The machine is trained on the words that look most toxic so far (at first by how much
+oftener toxic documents hold them) against the words of clean documents, then picks those words
+anew, and meets the clean words that it took for toxic.
 
 The trained machine is a sum over landmarks of kernels, and the kernel is a product of sparse
 subsequence counts, so it folds into one weight per subsequence. A word then costs the same
@@ -18,11 +19,13 @@ quarter, squashed with an offset and slope fitted on the training documents. Lon
 in overlapping pieces, single letters in a row also as one word, and nothing is cut off.
 Punctuation at a word's ends does not count; inside a word it is read both with and without.
 
-Fitting uses at most `per_class` labelled documents of each class, of at most `max_chars`
-characters, picked by the hash of their ids: a bounded sample, fitted on the driver.
+Fitting uses at most `per_class` labelled documents of each class, picked by the hash of their ids
+among those that have a text, and of a text longer than `max_chars` stretches from all over it: a
+bounded sample, fitted on the driver.
 
 Cases: null and empty texts get the score of no words; a null label is never learned; labels
-without a document do nothing and repeated ones count once, a toxic one winning; with one class
+without a document that has words do nothing, and repeated ones count once, a toxic one winning;
+of documents sharing a labelled id the smallest text is learned; equal scores share a rank; with one class
 or none, every score is 0; repeated rows repeat their result; other columns are ignored.
 """
 
@@ -37,7 +40,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from silverline.llm.common import SPACES, batches, sample_by_hash
+from silverline.llm.common import SPACES, batches, sample_by_hash, text_windows
 
 PIECE, STEP = 14, 7
 LETTERS = 128
@@ -210,7 +213,7 @@ def _witnesses(bags: list[list[str]], value: dict[str, float]) -> Counter:
 def fit(rows: list[tuple[str, int]], landmarks: int = LANDMARKS, rounds: int = 4) -> Scorer:
     """Fit from (text, toxic) pairs in a fixed order."""
     raw = [(Counter(words(t)), y) for t, y in rows]
-    bags = {v: [own for own in ([p for w in set(ws) for p in pieces(w)[:1]]
+    bags = {v: [own for own in ([p for w in set(ws) for p in pieces(w)]
                                 for ws, y in raw if y == v) if own] for v in (0, 1)}
     if not bags[0] or not bags[1]:
         return Scorer(np.zeros(LETTERS ** 3, np.float32), 0.0)
@@ -272,13 +275,15 @@ def _calibrated(scorer: Scorer, raw: list[tuple[Counter, int]]) -> Scorer:
 
 def training_rows(docs: DataFrame, labels: DataFrame, usable: Column,
                   per_class: int = PER_CLASS, max_chars: int = MAX_CHARS) -> list[tuple[str, int]]:
-    """At most `per_class` (text, toxic) pairs of each class, in the order of id hashes."""
+    """At most `per_class` (text, toxic) pairs of each class, of labelled ids that have a text."""
+    texts = docs.filter(F.trim("text", F.lit(SPACES)) != "").select("doc_id", "text")
     known = (labels.filter(usable & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
-             .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+             .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+             .join(texts.select("doc_id"), "doc_id", "left_semi"))
     # At most `per_class` ids of each of two classes, hence safe to broadcast and to collect.
     picked = sample_by_hash(known, "toxic", "doc_id", per_class)
-    rows = (docs.filter(F.length("text") <= max_chars).select("doc_id", "text")
-            .join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"]).collect())
+    rows = (texts.join(F.broadcast(picked), "doc_id").withColumn("text", text_windows("text", max_chars))
+            .groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).collect())
     return [(r["text"], r["toxic"]) for r in sorted(rows, key=lambda r: r["doc_id"])]
 
 

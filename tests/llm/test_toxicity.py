@@ -86,3 +86,28 @@ def test_cases(spark, docs):
     one_class = toxicity.fit([("text here", 0)])
     assert one_class.scores(["text", None]) == [0.0, 0.0]
     assert toxicity.fit([]).scores(["text"]) == [0.0]
+
+
+def test_sample_is_drawn_from_labels_with_a_text(spark, docs):
+    from pyspark.sql import functions as F
+    labels = spark.range(200_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    rows = [(i * 40, f"text number {i}") for i in range(4000)] + [(i * 40 + 1, f"bad number {i}") for i in range(4000)]
+    rows += [(i * 40 + 3, " \n") for i in range(50)] + [(i * 40 + 5, None) for i in range(50)]
+    train = toxicity.training_rows(docs(rows), labels, F.lit(True))
+    assert [sum(y == v for _, y in train) for v in (0, 1)] == [700, 700]
+
+
+def test_long_texts_are_learned_from_all_over(spark, docs):
+    rows = [(i, "word " * 30_000 + "ending") for i in range(3)]
+    labels = spark.createDataFrame([(i, 0) for i in range(3)], "doc_id long, toxic int")
+    train = toxicity.training_rows(docs(rows), labels, F.lit(True))
+    assert len(train) == 3 and all(len(t) <= 20_010 and t.endswith("ending") for t, _ in train)
+
+
+def test_every_piece_of_a_word_is_learned():
+    rng = np.random.default_rng(4)
+    rows = [(f"{prose(rng, 30)} {'dampfschiffkapitaen' + 'grumbolt' if i % 2 else ''}", i % 2) for i in range(200)]
+    rows += [(f"{prose(rng, 30)} dampfschiffkapitaensmuetze", 0) for _ in range(60)]
+    scorer = toxicity.fit(rows)
+    assert scorer.scores(["a grumbolt here"])[0] >= toxicity.THRESHOLD
+    assert scorer.scores(["the dampfschiffkapitaen"])[0] < toxicity.THRESHOLD
