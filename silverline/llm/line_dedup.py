@@ -33,6 +33,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from silverline.llm.common import batches, numbered, raw_texts
 from silverline.sources.shared import durable
@@ -198,9 +199,8 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min
     drops = (repeated_keys(digests, max_filter_bytes)
              .groupBy("row").agg(F.collect_list(F.struct("h", "g")).alias("drops")))
     met = whole.join(drops, "row", "left")
-    kind = dict(met.select("rest").dtypes)["rest"]
-    out = met.select("doc_id", "text", "drops", "rest").mapInArrow(
-        _without(min_chars),
-        f"doc_id long, kept_text string, n_lines long, n_dropped long, rest {kind}")
+    kind = (StructType().add("doc_id", "long").add("kept_text", "string").add("n_lines", "long")
+            .add("n_dropped", "long").add(met.schema["rest"]))
+    out = met.select("doc_id", "text", "drops", "rest").mapInArrow(_without(min_chars), kind)
     return out.select("doc_id", "kept_text", "n_lines", "n_dropped",
                       *[F.col(f"rest.`{c}`").alias(c) for c in keep or []])

@@ -39,6 +39,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from silverline.llm.common import SPACES, batches, sample_by_hash, text_windows
 
@@ -303,7 +304,6 @@ def score_texts(docs: DataFrame, scorer: Scorer, text: str = "text", doc_id: str
                 [batch.column(0), pa.array(found, pa.float64()), batch.column(2)],
                 ["doc_id", "score", "rest"])
 
-    kind = dict(source.dtypes)["rest"]
-    found = source.mapInArrow(run, f"doc_id long, score double, rest {kind}")
+    found = source.mapInArrow(run, StructType().add("doc_id", "long").add("score", "double").add(source.schema["rest"]))
     return found.select("doc_id", "score", *[F.col(f"rest.`{c}`").alias(c) for c in keep or []
                                              if c not in ("doc_id", "score")])
