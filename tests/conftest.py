@@ -5,9 +5,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
-
-DATA = "/root/testdata/sf0.001"
+sys.path[:0] = [str(Path(__file__).resolve().parents[n]) for n in (1, 0)]
+from given import DATA  # noqa: E402
 
 
 @pytest.fixture(scope="session")

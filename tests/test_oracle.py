@@ -9,7 +9,7 @@ import pytest
 sys.path[:0] = [str(Path(__file__).resolve().parents[1] / x) for x in ("", "tools")]
 import __spark_entry__ as entry  # noqa: E402
 import check  # noqa: E402
-from conftest import DATA  # noqa: E402
+from given import DATA  # noqa: E402
 
 ALL = entry.queries()
 NAMES = list(entry.registered.QUERIES)
