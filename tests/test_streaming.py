@@ -1,8 +1,10 @@
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
 from silverline.sources.shared import fresh_path
-from silverline.streaming import loads
+from silverline.streaming import commits, loads, state
 
 SCHEMA = "k long, v long"
 
@@ -91,7 +93,7 @@ def test_batch_run_again_writes_the_same_rows(spark):
     _drop(spark, source, 0, 100)
     rows = spark.read.schema(SCHEMA).parquet(source)
     for _ in range(2):
-        loads._write_batch(rows, target, "r", 0, ["k"])
+        loads.write_batch(rows, target, "r", 0, ["k"])
     assert loads.stored_rows(spark, target, rows.schema).count() == rows.count()
     assert loads.stored_rows(spark, target, rows.schema, skip=("r", 0)).count() == 0
 
@@ -118,3 +120,157 @@ def test_known_keys_are_read_from_touched_folders_only(spark):
     assert "bucket" in known.columns
     plan = known.filter(F.col("bucket").isin([3]))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [(bucket" in plan, plan
+
+
+# ---- Commit order and growing buckets ----
+
+def _values(spark, target):
+    return {r.k: r.v for r in loads.current_rows(spark, target, _schema(spark), ["k"], ["v"]).collect()}
+
+
+@pytest.mark.parametrize("compacted", [False, True])
+def test_the_later_commit_wins_between_alternating_streams(spark, compacted):
+    one, two, target, *logs = _paths(spark, "a", "b", "t", "l1", "l2")
+    for source, log, value in ((one, logs[0], 1), (two, logs[1], 100), (one, logs[0], 5), (two, logs[1], 7)):
+        spark.createDataFrame([(1, value)], SCHEMA).write.mode("append").parquet(source)
+        _upsert(spark, source, target, log)
+        if compacted:
+            loads.compact(spark, target, _schema(spark), ["k"], ["v"])
+        assert _values(spark, target) == {1: value}
+
+
+def test_a_batch_run_again_keeps_its_place(spark):
+    target, = _paths(spark, "t")
+    old, new = (spark.createDataFrame([(1, v)], SCHEMA) for v in (1, 2))
+    for run, rows in (("a", old), ("b", new), ("a", old)):
+        loads.write_batch(rows, target, run, 0, ["k"])
+    assert _values(spark, target) == {1: 2}
+    loads.compact(spark, target, _schema(spark), ["k"], ["v"])
+    loads.write_batch(old, target, "a", 0, ["k"])  # again after it was folded
+    assert _values(spark, target) == {1: 2}
+    assert sorted(r.seq for r in commits.commits(spark, target).collect()) == [1, 2]
+
+
+def test_a_number_is_claimed_once(spark):
+    target, = _paths(spark, "t")
+    assert [commits.commit(spark, target, "a", n) for n in (0, 1, 0)] == [1, 2, 1]
+    assert commits._create(spark, f"{target}/_commits/{3:015d}", "") is True  # a stream that died while claiming
+    assert commits._create(spark, f"{target}/_commits/{3:015d}", "") is False
+    assert commits.commit(spark, target, "b", 0) == 4
+    assert commits.commits(spark, target).count() == 3
+
+
+def test_folders_without_a_commit_are_not_read(spark):
+    target, = _paths(spark, "t")
+    rows = spark.createDataFrame([(1, 1)], SCHEMA)
+    loads.write_batch(rows, target, "a", 0, ["k"])
+    (rows.withColumn("v", F.lit(9).cast("long")).withColumn("bucket", loads.bucket_of(["k"], 16))
+     .write.partitionBy("bucket").parquet(f"{target}/run=a/batch=1"))
+    assert _values(spark, target) == {1: 1}
+
+
+def test_buckets_grow_one_by_one_and_only_split_ones_are_rewritten(spark):
+    target, = _paths(spark, "t")
+    schema = _schema(spark)
+    every = spark.range(4000).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    loads.write_batch(every, target, "a", 0, ["k"])
+    assert loads.compact(spark, target, schema, ["k"], ["v"], rows_a_bucket=200) == 20
+    before = loads._published(spark, target)[2]
+    assert len(before) == 20
+    assert loads.compact(spark, target, schema, ["k"], ["v"], rows_a_bucket=190) == 22
+    after = loads._published(spark, target)[2]
+    assert {b for b in before if before[b] != after[b]} == {4, 5} and len(after) == 22
+    assert loads.compact(spark, target, schema, ["k"], ["v"], rows_a_bucket=50) == 80
+    assert _values(spark, target) == {k: k for k in range(4000)}
+    few = spark.createDataFrame([(1, -1), (4001, -2)], SCHEMA)
+    loads.write_batch(few, target, "b", 0, ["k"])
+    middle = loads._published(spark, target)[2]
+    loads.compact(spark, target, schema, ["k"], ["v"])
+    last = loads._published(spark, target)[2]
+    assert sum(middle[b] != last[b] for b in middle) == 2  # those of the two keys
+    assert _values(spark, target) == {k: k for k in range(4000)} | {1: -1, 4001: -2}
+
+
+def test_linear_hashing_moves_rows_out_of_split_buckets_only(spark):
+    keys = spark.range(5000).select(F.col("id").alias("k"))
+    for n, more in ((16, 17), (16, 40), (20, 33), (31, 32), (32, 100)):
+        rows = keys.select(loads.bucket_of(["k"], n).alias("a"), loads.bucket_of(["k"], more).alias("b")).collect()
+        assert {r.a for r in rows} == set(range(n)) and {r.b for r in rows} == set(range(more))
+        moved = {r.a for r in rows if r.a != r.b}
+        assert moved == loads.split_buckets(n, more)
+
+
+# ---- Keyed state ----
+
+def _state_unique(spark, source, target, log):
+    query = state.stateful_unique(_source(spark, source), target, log, "k", ["v"])
+    query.awaitTermination()
+    return query
+
+
+def test_stateful_unique_over_restarts(spark):
+    source, target, log = _paths(spark, "d", "t", "l")
+    for low, high in ((0, 300), (300, 900), (900, 950)):
+        _drop(spark, source, low, high)
+        query = _state_unique(spark, source, target, log)
+        _state_unique(spark, source, target, log)  # nothing new
+    first = spark.read.schema(SCHEMA).parquet(source).groupBy("k").agg(F.min("v").alias("v"))
+    got = state.batch_rows(spark, target, _schema(spark))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, first.collect()))
+    stats = query.lastProgress["stateOperators"][0]
+    assert stats["numRowsTotal"] == first.count() and any(k.startswith("rocksdb") for k in stats["customMetrics"])
+    assert "RocksDB" not in (spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) or "")
+
+
+def test_stateful_unique_shuffles_one_row_per_key_and_task(spark):
+    source, target, log = _paths(spark, "d", "t", "l")
+    spark.range(30_000).select(F.lit(0).cast("long").alias("k"), F.col("id").alias("v")).repartition(3).write.parquet(source)
+    query = _state_unique(spark, source, target, log)
+    plan = query._jsq.explainInternal(False) if hasattr(query._jsq, "explainInternal") else ""
+    assert state.batch_rows(spark, target, _schema(spark)).collect() == [(0, 0)]
+    assert query.lastProgress["stateOperators"][0]["numRowsUpdated"] == 1, plan
+
+
+def test_stateful_unique_keeps_nulls_as_one_key(spark):
+    source, target, log = _paths(spark, "d", "t", "l")
+    for rows in ([(None, None), (None, 3), (1, None)], [(None, 1), (1, 1), (2, None)]):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(source)
+        _state_unique(spark, source, target, log)
+    got = state.batch_rows(spark, target, _schema(spark)).collect()
+    assert Counter(map(tuple, got)) == Counter([(None, 3), (1, None), (2, None)])
+
+
+# ---- Windows ----
+
+EVENT = "ts timestamp, k long"
+
+
+def _events(spark, path, minutes):
+    spark.createDataFrame([(m, k) for m, k in minutes], "m long, k long").select(
+        (F.timestamp_seconds(F.col("m") * 60)).alias("ts"), "k").coalesce(1).write.mode("append").parquet(path)
+
+
+def _minute(column):
+    return (F.unix_timestamp(column) / 60).cast("long")
+
+
+@pytest.mark.parametrize("kind", ["tumbling", "session"])
+def test_windows_and_late_rows(spark, kind):
+    source, target, late, log, late_log = _paths(spark, "d", "w", "late", "l", "ll")
+    schema = spark.createDataFrame([], EVENT).schema
+    over = F.window("ts", "10 minutes") if kind == "tumbling" else F.session_window("ts", "10 minutes")
+    end = F.window("ts", "10 minutes")["end"] if kind == "tumbling" else F.col("ts") + F.expr("interval 10 minutes")
+    # 60 less 5 minutes is the watermark of the second drop: 3 and 12 are late, 52 is not.
+    for drop in ([(1, 1), (2, 1), (11, 1), (25, 2), (60, 1)], [(3, 1), (12, 1), (52, 1), (61, 2), (200, 3)]):
+        _events(spark, source, drop)
+        stream = loads.file_stream(spark, source, schema)
+        state.windowed(stream, target, log, "ts", "5 minutes", over, ["k"], [F.count(F.lit(1)).alias("n")]).awaitTermination()
+        state.late_rows(loads.file_stream(spark, source, schema), late, late_log, "ts", "5 minutes", end).awaitTermination()
+    out = "window_start timestamp, window_end timestamp, k long, n long"
+    rows = state.batch_rows(spark, target, spark.createDataFrame([], out).schema)
+    got = {tuple(r) for r in rows.select(_minute("window_start"), _minute("window_end"), "k", "n").collect()}
+    want = {"tumbling": {(0, 10, 1, 2), (10, 20, 1, 1), (20, 30, 2, 1), (50, 60, 1, 1), (60, 70, 1, 1), (60, 70, 2, 1)},
+            "session": {(1, 21, 1, 3), (25, 35, 2, 1), (52, 70, 1, 2), (61, 71, 2, 1)}}[kind]
+    assert got == want
+    missed = state.batch_rows(spark, late, schema).select(_minute("ts")).collect()
+    assert sorted(r[0] for r in missed) == [3, 12]
