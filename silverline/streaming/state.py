@@ -77,7 +77,7 @@ def windowed(source: DataFrame, target: str, checkpoint: str, time: str, delay:
     window_end. Rows that come after their window was given out are dropped here; `late_rows` keeps
     them. Rows without an event time are in no window.
     """
-    marked = source.filter(F.col(time).isNotNull()).withWatermark(time, delay)
+    marked = source.filter(F.col(time).isNotNull()).withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay)
     found = (marked.groupBy(over.alias("window"), *keys).agg(*aggregates)
              .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "*").drop("window"))
     with keyed_state(source.sparkSession):
