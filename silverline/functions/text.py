@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from functools import reduce
 from html.entities import html5
+from urllib.parse import urlsplit
 
 from pyspark.sql import Column, functions as F
 
@@ -22,9 +23,9 @@ WINDOWS = {str(i): bytes([i]).decode("cp1252") for i in range(0x80, 0xA0)
 
 # One character reference: decimal, hexadecimal, or a name.
 REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;?)"
-# Markup whose content goes too, and any other tag. A tag starts at `<` followed by a letter,
-# `/`, `!` or `?`; any other `<` is text.
-HIDDEN_MARKUP = r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>"
+# Markup whose content goes too, up to the end of the text where it is left open, and any other
+# tag. A tag starts at `<` followed by a letter, `/`, `!` or `?`; any other `<` is text.
+HIDDEN_MARKUP = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\z)"
 TAG = r"""(?s)<[A-Za-z/!?](?:"[^"]*"|'[^']*'|[^'">])*>"""
 
 
@@ -135,19 +136,22 @@ def _resolve(url: Column) -> Column:
 
 
 def absolute_url(c, base: str, resolve: bool = False) -> Column:
-    """`//x` gets a scheme, `/x` the base; `resolve` also joins plain relative paths and folds
-    dot segments. `base` is a scheme and host, with or without a path."""
+    """`//x` gets a scheme, `/x` the base. `resolve` joins as a browser does, from a `base` with or
+    without a path: `/x` goes below the host, plain relative paths below the base's last folder,
+    and dot segments are folded."""
     c = blank_to_null(strip(c))
-    root = base.rstrip("/")
-    out = F.when(c.startswith("//"), F.concat(F.lit("https:"), c)).when(
-        c.startswith("/"), F.concat(F.lit(root), c))
-    if resolve:
-        out = (
-            out.when(c.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), c)
-            .when(c.rlike(r"^[?#]"), F.concat(F.lit(root), c))
-            .otherwise(F.concat(F.lit(root + "/"), c)))
-        return let(out, _resolve)
-    return out.otherwise(c)
+    scheme = F.when(c.startswith("//"), F.concat(F.lit("https:"), c))
+    if not resolve:
+        return scheme.when(c.startswith("/"), F.concat(F.lit(base.rstrip("/")), c)).otherwise(c)
+    parts = urlsplit(base)
+    host = f"{parts.scheme}://{parts.netloc}"
+    folder = parts.path[:parts.path.rfind("/") + 1] or "/"
+    out = (scheme.when(c.startswith("/"), F.concat(F.lit(host), c))
+           .when(c.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), c)
+           .when(c.startswith("?"), F.concat(F.lit(host + parts.path.rstrip("/")), c))
+           .when(c.startswith("#"), F.concat(F.lit(base.partition("#")[0].rstrip("/")), c))
+           .otherwise(F.concat(F.lit(host + folder), c)))
+    return let(out, _resolve)
 
 
 def md5_id(c, fold: bool = True) -> Column:

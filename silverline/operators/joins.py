@@ -12,6 +12,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from silverline.operators.names import free_name
+
 Dims = list[tuple[DataFrame, str]]
 
 
@@ -33,7 +35,7 @@ def fk_orphans(fact: DataFrame, dims: Dims) -> DataFrame:
     nulls, fact = fact.filter(~keyed), fact.filter(keyed)  # null keys would all meet in one task
     marks = []
     for i, (dim, key) in enumerate(dims):
-        mark = f"_known_{i}"
+        mark = free_name(columns, f"_known_{i}")
         marks.append(mark)
         known = dim.select(key).filter(F.col(key).isNotNull()).distinct()
         fact = fact.join(known.withColumn(mark, F.lit(True)), key, "left")
@@ -49,18 +51,18 @@ def skip_done(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:
 
 def canonical_lookup(df: DataFrame, column: str, lookup: DataFrame, into: str) -> DataFrame:
     """Replace through a (name, canonical) table with unique names, else keep the value."""
-    table = lookup.select(F.col("name").alias(column), F.col("canonical").alias("_canonical"))
-    return (df.join(table, column, "left")
-            .withColumn(into, F.coalesce(F.col("_canonical"), F.col(column)))
-            .drop("_canonical"))
+    found = free_name([*df.columns, into], "_canonical")
+    table = lookup.select(F.col("name").alias(column), F.col("canonical").alias(found))
+    return df.join(table, column, "left").withColumn(into, F.coalesce(F.col(found), F.col(column))).drop(found)
 
 
 def prefer(first: DataFrame, second: DataFrame, key: str, cols: list[str]) -> DataFrame:
     """Per column, the first source's value unless it is null. `second` has unique keys."""
-    other = second.select(key, *[F.col(c).alias(f"_{c}") for c in cols])
+    theirs = {c: free_name([*first.columns, *cols], f"_{c}") for c in cols}
+    other = second.select(key, *[F.col(c).alias(n) for c, n in theirs.items()])
     joined = first.join(other, key, "left")
-    return (joined.withColumns({c: F.coalesce(F.col(c), F.col(f"_{c}")) for c in cols})
-            .drop(*[f"_{c}" for c in cols]))
+    return (joined.withColumns({c: F.coalesce(F.col(c), F.col(n)) for c, n in theirs.items()})
+            .drop(*theirs.values()))
 
 
 def catalog_view(products: DataFrame, bridge: DataFrame, ingredients: DataFrame) -> DataFrame:

@@ -1,19 +1,22 @@
 """One row per key, numbering, first-seen accounting and upserts.
 
 `row_number() = 1` is planned with a group limit on the map side: each task sends at most
-one row per key, so a key holding a third of the table costs no more than any other.
+one row per key, so a key holding a third of the table costs no more than any other. Columns that an
+operator adds for a while get names that the frame does not have, so all of the caller's stay.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from silverline.operators.names import free_name
 from silverline.sources.shared import durable
 
 
 def _one_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     ranked = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
+    rank = free_name(df.columns, "_rank")
+    return df.withColumn(rank, F.row_number().over(ranked)).filter(F.col(rank) == 1).drop(rank)
 
 
 def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -27,9 +30,10 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 def enumerate_items(df: DataFrame, items: str, into: str, position: str = "position") -> DataFrame:
     """One row per array item with its 1-based place; items dropped later keep their number."""
-    others = [c for c in df.columns if c != items]
-    return (df.select(*others, F.posexplode(items).alias("_at", into))
-            .withColumn(position, F.col("_at") + 1).drop("_at"))
+    others = [F.col(f"`{c}`") for c in df.columns if c != items]
+    at = free_name([*df.columns, into, position], "_at")
+    return (df.select(*others, F.posexplode(items).alias(at, into))
+            .withColumn(position, F.col(at) + 1).drop(at))
 
 
 def running_total(df: DataFrame, order: str, column: str, into: str) -> DataFrame:
@@ -39,15 +43,16 @@ def running_total(df: DataFrame, order: str, column: str, into: str) -> DataFram
     totals (one row per shuffle partition) give every range its starting value. Storing
     pins the ranges, which are sampled and could differ if they were computed twice.
     """
-    ranges = durable(df.repartitionByRange(F.col(order)).withColumn("_range", F.spark_partition_id()))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = ranges.groupBy("_range").agg(F.sum(column).alias("_sum")).select(
-        "_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
-    within = Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    part, total, start = (free_name([*df.columns, into], c) for c in ("_range", "_sum", "_start"))
+    ranges = durable(df.repartitionByRange(F.col(order)).withColumn(part, F.spark_partition_id()))
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranges.groupBy(part).agg(F.sum(column).alias(total)).select(
+        part, F.coalesce(F.sum(total).over(before), F.lit(0)).alias(start))
+    within = Window.partitionBy(part).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     # At most one row per shuffle partition, hence safe to broadcast.
-    return (ranges.join(F.broadcast(starts), "_range")
-            .withColumn(into, F.sum(column).over(within) + F.col("_start"))
-            .drop("_range", "_start"))
+    return (ranges.join(F.broadcast(starts), part)
+            .withColumn(into, F.sum(column).over(within) + F.col(start))
+            .drop(part, start))
 
 
 def first_seen(df: DataFrame, key: str, page: str) -> DataFrame:
@@ -100,11 +105,12 @@ def upsert_keep_last(old: DataFrame, new: DataFrame, keys: list[str], order: lis
 
     Keys absent from the frame are ignored; with none left, exact duplicates collapse.
     """
-    both = concat_ragged(old.withColumn("_side", F.lit(0)), new.withColumn("_side", F.lit(1)))
+    side = free_name([*old.columns, *new.columns], "_side")
+    both = concat_ragged(old.withColumn(side, F.lit(0)), new.withColumn(side, F.lit(1)))
     known = [k for k in keys if k in both.columns]
     if not known:
-        return both.drop("_side").distinct()
-    return keep_last(both, known, ["_side", *order]).drop("_side")
+        return both.drop(side).distinct()
+    return keep_last(both, known, [side, *order]).drop(side)
 
 
 def minus(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:

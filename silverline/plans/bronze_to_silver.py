@@ -56,11 +56,11 @@ def silver_tables(products: DataFrame, ingredients: DataFrame, bridge: DataFrame
 
 
 def bronze_to_silver(spark: SparkSession, bronze: str, silver: str,
-                     multi_line: bool = True) -> dict[str, int]:
+                     multi_line: bool = False) -> dict[str, int]:
     """Run the job on CSV folders; returns rows written per table.
 
-    Cells may hold line breaks, so by default a file is never split: keep files moderate, or
-    pass `multi_line=False` when every row is known to be one line.
+    A row is a line, so one large file is read by many tasks. With `multi_line` cells may hold line
+    breaks, and a file is one task.
 
     Each input is scanned once. The bridge is checked against the key columns of the silver
     tables just written, so the dimensions are neither parsed nor cleaned a second time.

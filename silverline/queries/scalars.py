@@ -65,6 +65,26 @@ def _(d):
     return d.supplier.select("s_suppkey", t.absolute_url(link, "https://shop.example.com", resolve=True).alias("link"))
 
 
+@query("absolute_url_from_page", """
+SELECT s_suppkey, 'https://shop.example.com' || CASE s_suppkey % 6 WHEN 0 THEN '/y/' || s_suppkey WHEN 1 THEN '/c/' || s_suppkey
+  WHEN 2 THEN '/d/b/' || s_suppkey WHEN 3 THEN '/d/e?a=' || s_suppkey WHEN 4 THEN '/d/' || s_suppkey ELSE '/' || s_suppkey END AS link
+FROM supplier""")
+def _(d):
+    """Links of a page that is not at the root of its host."""
+    k = F.col("s_suppkey").cast("string")
+    paths = ("/x/../y/", "../c/", "a/../b/", "?a=", "./", "../../../")
+    link = F.element_at(F.array(*[F.concat(F.lit(x), k) for x in paths]), (F.col("s_suppkey") % 6 + 1).cast("int"))
+    return d.supplier.select("s_suppkey", t.absolute_url(link, "https://shop.example.com/d/e", resolve=True).alias("link"))
+
+
+@query("clean_text_unterminated", "SELECT s_suppkey, s_name || CASE WHEN s_suppkey % 4 = 3 THEN ' < 5' ELSE '' END AS text FROM supplier")
+def _(d):
+    """Comments, scripts and styles that are never closed reach to the end of the text."""
+    ends = ("<script>var x = '<b>' + 1", " <!-- open <p>", "<STYLE type='a'> p { } </script>", " < 5")
+    end = F.element_at(F.array(*map(F.lit, ends)), (F.col("s_suppkey") % 4 + 1).cast("int"))
+    return d.supplier.select("s_suppkey", t.clean_text(F.concat("s_name", end), strip_tags=True).alias("text"))
+
+
 @query("safe_lower", """
 SELECT c_custkey, lower(trim(coalesce(CASE WHEN c_custkey % 4 <> 0 THEN ' ' || c_mktsegment END, ''))) AS segment
 FROM customer""")

@@ -57,6 +57,32 @@ def test_plain_csv_is_split(spark):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_one_large_bronze_file_is_read_by_several_tasks(spark, monkeypatch):
+    from silverline.plans import bronze_to_silver as job
+    bronze, silver = fresh_path(spark, "bronze"), fresh_path(spark, "silver")
+    ids = spark.range(40_000).select(F.col("id").cast("string").alias("id"), F.md5(F.col("id").cast("string")).alias("m"))
+    for name, columns in (
+            ("ProductTable", "id product_id, '1' price, '2' rating, 'USD' currency, 'x' source, m brand_name"),
+            ("IngredientsTable", "id ingredient_id, m ingredient_name, 'a' evidence_level, 'x' source"),
+            ("BridgeTable", "id product_id, id ingredient_id, m ingredient_name")):
+        ids.selectExpr(*[" AS ".join(c.rsplit(" ", 1)) for c in columns.split(", ")]).coalesce(1).write.option(
+            "header", True).csv(f"{bronze}/{name}.csv")
+    tasks, write = {}, job.write_parquet
+
+    def counted(df, path):
+        tasks[path.rsplit("/", 1)[1]] = df.rdd.getNumPartitions()
+        write(df, path)
+
+    monkeypatch.setattr(job, "write_parquet", counted)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        assert set(job.bronze_to_silver(spark, bronze, silver).values()) == {40_000}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert tasks["products"] > 4 and tasks["ingredients"] > 4
+
+
 def test_files_follow_the_data_not_the_tasks(spark):
     base = fresh_path(spark, "parts")
     wr.write_partitioned(spark.range(0, 1000, 1, 16).withColumn("d", F.col("id") % 3), base, ["d"])

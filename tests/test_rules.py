@@ -176,3 +176,39 @@ def test_validate_record_lists_required_first(spark):
     row = q.validate_record(df, fixed.REQUIRED_INGREDIENT_FIELDS, fixed.OPTIONAL_INGREDIENT_FIELDS).first()
     assert row["extraction_status"] == "partial"
     assert row["missing_fields"] == ["raw_ingredient_name"] + fixed.OPTIONAL_INGREDIENT_FIELDS
+
+
+# ---- Columns of the caller that are called like an operator's own ----
+
+OWN = "k long, v long, _rank long, _at long, _side long, _range long, _start long, _sum long, _canonical string, __rank long"
+
+
+def _own(spark, *rows):
+    return spark.createDataFrame([(k, v, 10 + v, 20, 30, 40, 50, 60, "c", 70) for k, v in rows], OWN)
+
+
+def test_no_column_of_the_caller_is_lost(spark):
+    df = _own(spark, (1, 1), (1, 2), (2, 3))
+    for kept, want in ((ky.keep_last(df, ["k"], ["v"]), {2, 3}), (ky.keep_first(df, ["k"], ["v"]), {1, 3})):
+        assert kept.columns == df.columns and {(r.v, r._rank, r.__getattr__("__rank")) for r in kept.collect()} == {
+            (v, 10 + v, 70) for v in want}
+    both = ky.upsert_keep_last(df, _own(spark, (2, 9)), ["k"], ["v"])
+    assert both.columns == df.columns and {(r.k, r.v, r._side) for r in both.collect()} == {(1, 2, 30), (2, 9, 30)}
+    assert ky.upsert_keep_last(df, df, ["none"], ["v"]).count() == 3
+    total = ky.running_total(df, "v", "v", "sum")
+    assert total.columns == [*df.columns, "sum"]
+    assert sorted((r.v, r["sum"], r._range, r._start, r._sum) for r in total.collect()) == [
+        (1, 1, 40, 50, 60), (2, 3, 40, 50, 60), (3, 6, 40, 50, 60)]
+    items = df.withColumn("items", F.array(F.lit("a"), F.lit("b")))
+    listed = ky.enumerate_items(items, "items", "item")
+    assert sorted({(r.item, r.position, r._at) for r in listed.collect()}) == [("a", 1, 20), ("b", 2, 20)]
+
+
+def test_lookups_keep_columns_called_like_their_own(spark):
+    df = _own(spark, (1, 1)).withColumn("name", F.lit("aqua"))
+    lookup = spark.createDataFrame([("aqua", "water")], "name string, canonical string")
+    got = jn.canonical_lookup(df, "name", lookup, "norm").first()
+    assert (got.norm, got._canonical) == ("water", "c")
+    first = spark.createDataFrame([(1, None, "mine")], "k long, a string, _a string")
+    second = spark.createDataFrame([(1, "theirs")], "k long, a string")
+    assert tuple(jn.prefer(first, second, "k", ["a"]).first()) == (1, "theirs", "mine")
