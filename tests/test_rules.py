@@ -190,7 +190,7 @@ def _own(spark, *rows):
 def test_no_column_of_the_caller_is_lost(spark):
     df = _own(spark, (1, 1), (1, 2), (2, 3))
     for kept, want in ((ky.keep_last(df, ["k"], ["v"]), {2, 3}), (ky.keep_first(df, ["k"], ["v"]), {1, 3})):
-        assert kept.columns == df.columns and {(r.v, r._rank, r.__getattr__("__rank")) for r in kept.collect()} == {
+        assert kept.columns == df.columns and {(r.v, r._rank, r["__rank"]) for r in kept.collect()} == {
             (v, 10 + v, 70) for v in want}
     both = ky.upsert_keep_last(df, _own(spark, (2, 9)), ["k"], ["v"])
     assert both.columns == df.columns and {(r.k, r.v, r._side) for r in both.collect()} == {(1, 2, 30), (2, 9, 30)}
