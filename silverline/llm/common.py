@@ -18,6 +18,7 @@ from silverline.sources.shared import fresh_path
 SPACE = r"[\x20\x09-\x0D]"
 SAMPLE_PARTS = 64
 WINDOWS = 8
+BROADCAST_ROWS = 1 << 19
 SPACES = " \t\n\x0b\x0c\r"
 
 
@@ -81,3 +82,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def numbered(df: DataFrame, name: str = "rows") -> DataFrame:
     """The rows with a unique number in `row`, stored so that every reader sees the same ones."""
     return stored(df.withColumn("row", F.monotonically_increasing_id()), name)
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """A stored table of a few numbers a row, marked for broadcast if it has at most BROADCAST_ROWS rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df

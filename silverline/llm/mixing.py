@@ -27,7 +27,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from silverline.llm.common import numbered, stored
+from silverline.llm.common import bounded, numbered, stored
 from silverline.operators.keyed import running_total
 from silverline.sources.shared import durable
 
@@ -197,5 +197,5 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     middle = F.floor((F.col("start") + F.floor(F.col("size") / 2)) / plan.block)
     placed = (plan.rows.filter("size > 0").select("sid", middle.alias("block"), "row", "start")
               .join(plan.slots.select("sid", "block", "slot"), ["sid", "block"]).select("row", "slot", "start"))
-    return (whole.select("row", "rest").join(stored(placed, "placed"), "row")
+    return (whole.select("row", "rest").join(bounded(stored(placed, "placed")), "row")
             .repartitionByRange("slot", "start").sortWithinPartitions("slot", "start").select("rest.*"))
