@@ -191,9 +191,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     result is sorted by ranges of slots, each a task. Takes the columns doc_id, source and text;
     others ride along, whatever their names.
     """
-    whole = numbered(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("rest"),
-                                 "doc_id", "source", "text"), "mix")
-    plan = mix(whole, row="row", **options)
+    whole = numbered(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("rest")), "mix")
+    plan = mix(whole.select("row", "rest.doc_id", "rest.source", "rest.text"), row="row", **options)
     middle = F.floor((F.col("start") + F.floor(F.col("size") / 2)) / plan.block)
     placed = (plan.rows.filter("size > 0").select("sid", middle.alias("block"), "row", "start")
               .join(plan.slots.select("sid", "block", "slot"), ["sid", "block"]).select("row", "slot", "start"))
