@@ -100,3 +100,16 @@ def ingredient_usage(bridge: DataFrame) -> DataFrame:
     """Bridge rows and distinct products per ingredient."""
     return bridge.groupBy("ingredient_id").agg(
         F.count(F.lit(1)).alias("bridge_rows"), F.count_distinct("product_id").alias("products"))
+
+
+def rollup_audit(df: DataFrame, keys: list[str], sums: dict[str, Column]) -> DataFrame:
+    """Rows and sums at every level of the keys, from all of them down to the grand total.
+
+    `level` is the grouping id: 0 for full rows, one bit per key rolled up, the last key lowest, which
+    tells a null key from a rolled-up one. Rows are first reduced to one per full key, so only
+    those are copied for each level. Sums of no values are null; an empty table gives no rows.
+    """
+    full = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), *[F.sum(c).alias(n) for n, c in sums.items()])
+    return full.rollup(*keys).agg(
+        F.grouping_id().alias("level"), F.sum("n_rows").alias("n_rows"),
+        *[F.sum(n).alias(n) for n in sums])

@@ -46,7 +46,7 @@ def fk_orphans(fact: DataFrame, dims: Dims) -> DataFrame:
 def skip_done(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Resume: drop keys already processed. A null key is never known, and skips the join."""
     nulls, keyed = todo.filter(F.col(key).isNull()), todo.filter(F.col(key).isNotNull())
-    return keyed.join(done.select(key), key, "left_anti").union(nulls)
+    return keyed.join(done.select(key), key, "left_anti").unionByName(nulls).select(*todo.columns)
 
 
 def canonical_lookup(df: DataFrame, column: str, lookup: DataFrame, into: str) -> DataFrame:
