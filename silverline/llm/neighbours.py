@@ -6,14 +6,17 @@ distance of two vectors, divided by their squared distance, has a chi-square dis
 that many degrees of freedom, whatever the original dimension. A kd-tree over the projections
 hands out candidates by growing projected distance; each is verified with its exact inner
 product. A search stops when the next box lies so far away, measured by the k-th best distance
-so far, that the chi-square test is sure that what lies there is not nearer: a better
+so far, that the chi-square test is sure that what lies there is not nearer; inside a box, a
+candidate is verified only if its own projected distance passes the same test. A better
 candidate is missed with a chance of at most 1 - `SURE`.
 
 The tree's upper levels are split at medians of a bounded sample (about `SAMPLE` rows) into cells of
 about `ROWS_A_CELL` rows; its lower levels are built inside each cell. Every row is indexed.
 Round one searches each query's own cell; round two sends it to just those cells which the
-k-th distance found there does not rule out. Cells meet queries by a shuffle on cell and block
-of queries, and answer with candidates that beat the k-th only.
+k-th distance found there does not rule out. Queries of near cells form a block, and only the cells
+that some query of a block visits are copied to it. Cells meet queries by a shuffle on cell and block,
+and answer with candidates that beat the k-th only. A task compares `QUERIES` queries with
+`LEAVES` leaves at a time, so its memory is that of a cell and a block.
 
 Equal vectors are one candidate, kept with its k + 1 smallest ids: no more of them can be among
 the k nearest. Equal queries are searched once. So a vector that a third of all rows share
@@ -37,11 +40,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from silverline.sources.shared import durable
 
-DIMS, SURE = 8, 0.95
+DIMS, SURE = 24, 0.85
 SAMPLE = 20_000
 ROWS_A_CELL, LEAST_CELLS, MAX_CELLS = 1 << 16, 32, 1 << 16
 QUERIES_A_BLOCK = 1 << 16
-LEAF, GROUP = 64, 256
+LEAF, LEAVES, QUERIES, PAIRS = 64, 8, 512, 1 << 15
 
 
 def chance_within(x: np.ndarray, dims: int = DIMS) -> np.ndarray:
@@ -143,44 +146,59 @@ def leaves(points: np.ndarray) -> list[np.ndarray]:
     return done
 
 
+def scores_of(x: np.ndarray, q: np.ndarray, rows: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Inner products of given pairs of rows and queries."""
+    return np.concatenate([np.einsum("nd,nd->n", x[rows[i:i + PAIRS]], q[own[i:i + PAIRS]])
+                           for i in range(0, len(rows), PAIRS)] or [np.zeros(0)])
+
+
 def search(space: Space, x: np.ndarray, reps: np.ndarray, q: np.ndarray, least: np.ndarray,
-           k: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each query the k best rows of one cell (-1: none) and their inner products.
+           k: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """For each query the k best rows of one cell (-1: none), their inner products, and how many
+    pairs were verified.
 
     `least` is the k-th best inner product known so far; only rows that reach it are wanted.
     """
     order = np.argsort(reps)
-    x, projected = x[order], space.candidates(x[order])
+    x = x[order]
+    projected, asked = space.candidates(x), space.queries(q)
     parts = leaves(projected)
-    width = max(map(len, parts))
-    members = np.full((len(parts), width), -1)
-    for i, own in enumerate(parts):
-        members[i, :len(own)] = np.sort(own)
     low = np.stack([projected[p].min(axis=0) for p in parts])
     high = np.stack([projected[p].max(axis=0) for p in parts])
-    far = box_distances(space.queries(q), low, high)
-    turn = np.argsort(far, axis=1, kind="stable")
     limit = reach(space.directions.shape[1])
-    rows = np.full((len(q), k), -1)
-    scores = np.full((len(q), k), -np.inf)
-    for j in range(len(parts)):
-        leaf = turn[:, j]
-        kth = np.maximum(least, scores[:, -1])
-        bound = np.where(np.isfinite(kth), limit * space.squared(q, np.where(np.isfinite(kth), kth, 0)), np.inf)
-        live = np.nonzero(far[np.arange(len(q)), leaf] < bound)[0]
-        if not len(live):
-            break
-        for start in range(0, len(live), GROUP):
-            own = live[start:start + GROUP]
-            cand = members[leaf[own]]
-            got = np.einsum("ald,ad->al", x[cand], q[own])
-            got[(cand < 0) | (got < least[own, None])] = -np.inf
-            both = np.hstack([scores[own], got])
-            who = np.hstack([rows[own], cand])
-            best = np.lexsort((who, -both), axis=1)[:, :k]
-            scores[own] = np.take_along_axis(both, best, axis=1)
-            rows[own] = np.take_along_axis(who, best, axis=1)
-    return np.where(np.isfinite(scores), order[rows], -1), scores
+    rows, scores, verified = np.full((len(q), k), -1), np.full((len(q), k), -np.inf), 0
+    for start in range(0, len(q), QUERIES):
+        some = np.arange(start, min(start + QUERIES, len(q)))
+        far = box_distances(asked[some], low, high)
+        turn = np.argsort(far.mean(axis=0), kind="stable")
+        kth = least[some].copy()
+        for j in range(0, len(turn), LEAVES):
+            bound = np.where(np.isfinite(kth), limit * space.squared(q[some], np.where(np.isfinite(kth), kth, 0)), np.inf)
+            near = turn[j:j + LEAVES]
+            live = np.nonzero(far[:, near].min(axis=1) < bound)[0]
+            if not len(live):
+                continue
+            block = np.sort(np.concatenate([parts[i] for i in near]))
+            p, a = projected[block], asked[some[live]]
+            apart = (np.einsum("nd,nd->n", a, a)[:, None] + np.einsum("nd,nd->n", p, p) - 2 * (a @ p.T))
+            own, cand = np.nonzero(apart < bound[live, None])
+            own, cand = some[live[own]], block[cand]
+            got = scores_of(x, q, cand, own)
+            verified += len(got)
+            hit = got >= kth[own - start]
+            if not hit.any():
+                continue
+            changed, at = np.unique(own[hit], return_inverse=True)
+            at = np.concatenate([np.repeat(np.arange(len(changed)), k), at])
+            who = np.concatenate([rows[changed].ravel(), cand[hit]])
+            both = np.concatenate([scores[changed].ravel(), got[hit]])
+            best = np.lexsort((who, -both, at))
+            at = at[best]
+            place = np.arange(len(at)) - np.searchsorted(at, at)
+            best, at, place = (v[place < k] for v in (best, at, place))
+            rows[changed[at], place], scores[changed[at], place] = who[best], both[best]
+            kth[changed - start] = np.maximum(kth[changed - start], scores[changed, -1])
+    return np.where(np.isfinite(scores), order[rows], -1), scores, verified
 
 
 def usable(vectors: DataFrame, vec_id: str, embedding: str) -> tuple[DataFrame, int]:
@@ -221,32 +239,54 @@ def _boxes(space: Space):
     return run
 
 
+def _homes(space: Space, boxes):
+    """(query, vec, least, home): the nearest cell of each query."""
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, low, high = boxes.value
+        for batch in rows:
+            if batch.num_rows:
+                far = box_distances(space.queries(matrix(batch.column(1))), low, high)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.argmin(far, axis=1))],
+                                                 ["query", "vec", "least", "home"])
+    return run
+
+
 def _visits(space: Space, boxes, first: bool):
-    """(query, vec, least, cell): the nearest cell, or all others that are not ruled out."""
+    """(query, vec, least, block, cell): the home cell, or all others that are not ruled out."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, low, high = boxes.value
         limit = reach(space.directions.shape[1])
         for batch in rows:
             if not batch.num_rows:
                 continue
-            q = matrix(batch.column(1))
-            far = box_distances(space.queries(q), low, high)
-            own = np.argmin(far, axis=1)
-            if first:
-                at, to = np.arange(len(q)), own
-            else:
-                least = batch.column(2).to_numpy()
+            at, to = np.arange(batch.num_rows), batch.column(4).to_numpy()
+            if not first:
+                q, least = matrix(batch.column(1)), batch.column(2).to_numpy()
                 known = np.isfinite(least)
                 bound = np.where(known, limit * space.squared(q, np.where(known, least, 0)), np.inf)
-                open_ = far < bound[:, None]
-                open_[np.arange(len(q)), own] = False
+                open_ = box_distances(space.queries(q), low, high) < bound[:, None]
+                open_[at, to] = False
                 at, to = np.nonzero(open_)
             part = batch.take(pa.array(at))
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(cells[to])],
-                                             ["query", "vec", "least", "cell"])
+            yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array(cells[to])],
+                                             ["query", "vec", "least", "block", "cell"])
     return run
 
 
+def blocked(queries: DataFrame, a_block: int) -> DataFrame:
+    """Blocks of about `a_block` queries from the same or neighbouring home cells.
+
+    Cells are laid out in tree order, each as long as it has queries; a hash places a query inside
+    its cell, so one with many queries is cut into several blocks.
+    """
+    held = queries.groupBy("home").count()  # at most MAX_CELLS rows
+    starts = held.select("home", F.col("count").alias("n"), (
+        F.sum("count").over(Window.orderBy("home")) - F.col("count")).alias("at"))
+    place = F.col("at") + F.pmod(F.xxhash64("query"), F.col("n"))
+    return (queries.join(F.broadcast(starts), "home")
+            .select("query", "vec", "least", F.floor(place / a_block).alias("block"), "home"))
+
+
 def _answers(space: Space, k: int):
     def run(points: pa.Table, queries: pa.Table) -> pa.Table:
         kinds = {"query": pa.int64(), "rep": pa.int64(), "ids": pa.list_(pa.int64()),
@@ -254,7 +294,7 @@ def _answers(space: Space, k: int):
         if not points.num_rows or not queries.num_rows:
             return pa.table({c: pa.array([], t) for c, t in kinds.items()})
         reps = points["rep"].to_numpy()
-        rows, scores = search(space, matrix(points["vec"]), reps, matrix(queries["vec"]),
+        rows, scores, _ = search(space, matrix(points["vec"]), reps, matrix(queries["vec"]),
                               queries["least"].to_numpy(), k)
         at, place = np.nonzero(rows >= 0)
         hit = rows[at, place]
@@ -297,23 +337,23 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "ve
     asked = durable(asked.select("vec_id", "rep", "vec"))
     queries = (asked.groupBy("rep").agg(F.first("vec").alias("vec"))
                .select(F.col("rep").alias("query"), "vec", F.lit(float("-inf")).alias("least")))
-    queries = durable(queries)
-    blocks = max(1, -(-queries.count() // QUERIES_A_BLOCK))
-    spread = (points.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-              .groupBy("cell", "block"))
+    homes = queries.mapInArrow(_homes(space, shared), "query long, vec array<double>, least double, home long")
+    queries = durable(blocked(durable(homes), QUERIES_A_BLOCK))
 
     def visit(wanted: DataFrame, first: bool) -> DataFrame:
-        sent = wanted.mapInArrow(_visits(space, shared, first),
-                                 "query long, vec array<double>, least double, cell long")
-        sent = sent.withColumn("block", F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int"))
-        return spread.cogroup(sent.groupBy("cell", "block")).applyInArrow(
-            _answers(space, k + 1), "query long, rep long, ids array<bigint>, score double")
+        sent = durable(wanted.mapInArrow(
+            _visits(space, shared, first), "query long, vec array<double>, least double, block long, cell long"))
+        visited = sent.groupBy(F.col("cell").alias("at"), F.col("block").alias("block")).count()
+        return (points.join(visited, F.col("cell") == F.col("at"))
+                .select("rep", "ids", "vec", "cell", "block").groupBy("cell", "block")
+                .cogroup(sent.groupBy("cell", "block"))
+                .applyInArrow(_answers(space, k + 1), "query long, rep long, ids array<bigint>, score double"))
 
     near = durable(visit(queries, True))
     kth = (near.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least"))
            .filter(F.col("n") > k))
     known = queries.drop("least").join(kth, "query", "left").select(
-        "query", "vec", F.coalesce("least", F.lit(float("-inf"))).alias("least"))
+        "query", "vec", F.coalesce("least", F.lit(float("-inf"))).alias("least"), "block", "home")
     best = Window.partitionBy("query").orderBy(F.desc("score"), "rep")
     found = (near.union(visit(known, False)).withColumn("_n", F.row_number().over(best))
              .filter(F.col("_n") <= k + 1).select("query", "score", "ids"))

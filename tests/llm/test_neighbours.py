@@ -53,6 +53,7 @@ def test_recall_on_the_given_vectors(spark):
 
 def test_chi_square():
     assert abs(float(neighbours.chance_within(np.array([15.5073]), 8)[0]) - 0.95) < 1e-5
+    assert abs(float(neighbours.chance_within(np.array([36.4150]), 24)[0]) - 0.95) < 1e-5
     assert abs(neighbours.reach(8, 0.95) - 15.5073) < 1e-3
 
 
@@ -66,3 +67,38 @@ def test_projected_distances_follow_the_distribution():
         far = ((space.candidates(x) - space.queries(q)) ** 2).sum(axis=1)
         within.append(np.mean(far <= neighbours.reach() * space.squared(q, (x @ q.T)[:, 0])))
     assert abs(np.mean(within) - neighbours.SURE) < 0.02
+
+
+def test_search_verifies_what_the_test_does_not_rule_out():
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((60, 64))[rng.integers(0, 60, 6000)] + 0.25 * rng.standard_normal((6000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    q, k = x[::40], 20
+    true = np.argsort(-(q @ x.T), axis=1, kind="stable")[:, :k]
+    rows, scores, verified = neighbours.search(
+        neighbours.Space.make(64, 1 + 1e-9), x, np.arange(len(x)), q, np.full(len(q), -np.inf), k)
+    found = [len(set(r) & set(t)) for r, t in zip(rows, true)]
+    assert sum(found) / true.size >= 0.95 and verified < len(q) * len(x) / 2
+    assert np.allclose(scores, np.einsum("qd,qkd->qk", q, x[rows]), atol=1e-12)
+    assert (np.diff(scores, axis=1) <= 0).all()
+
+
+def test_blocks_hold_queries_of_near_cells(spark):
+    queries = spark.range(4000).select(
+        F.col("id").alias("query"), F.array(F.lit(1.0)).alias("vec"), F.lit(0.0).alias("least"),
+        F.when(F.col("id") < 1500, 3).otherwise(F.col("id") % 50).cast("long").alias("home"))
+    rows = neighbours.blocked(queries, 100).collect()
+    held, homes = {}, {}
+    for r in rows:
+        held[r.block] = held.get(r.block, 0) + 1
+        homes.setdefault(r.block, set()).add(r.home)
+    assert len(rows) == 4000 and max(held.values()) < 200 and len(held) == 40
+    assert all(max(h) - min(h) <= 3 for h in homes.values())
+
+
+def test_many_blocks_give_the_same_answers(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(v) for v in rng.integers(-2, 3, 4)]) for i in range(1, 400)]
+    one = run(spark, rows)
+    monkeypatch.setattr(neighbours, "QUERIES_A_BLOCK", 3)
+    assert run(spark, rows) == one
