@@ -24,7 +24,39 @@ def test_pack(sizes):
     assert sorted(inside) == list(range(len(final)))
 
 
-def test_no_item_fits_an_earlier_bin_better():
+def plain_pack(sizes, lengths, cost):
+    """Best fit by looking at every open bin, opening by trying every length."""
+    bins, at = [], []
+    for i, size in enumerate(sizes):
+        rest = sum(sizes[i + 1:])
+        open_ = [(b["length"] - sum(b["items"]), n) for n, b in enumerate(bins)
+                 if b["length"] - sum(b["items"]) >= size]
+        if open_:
+            n = min(open_)[1]
+        else:
+            price = {x: cost(x) / (size + min(x - size, rest)) for x in lengths if x >= size}
+            n = len(bins)
+            bins.append({"length": max(x for x in price if price[x] == min(price.values())), "items": []})
+        bins[n]["items"].append(size)
+        at.append(n)
+    return at, [min(x for x in lengths if x >= sum(b["items"])) for b in bins]
+
+
+@given(st.lists(st.integers(1, 64), max_size=60), st.sampled_from([(64,), (16, 64), (8, 16, 32, 64), (5, 33, 64)]),
+       st.sampled_from([0, 1, 8, 100]), st.sampled_from([0.0, 1 / 64, 1.0]))
+@settings(max_examples=300, deadline=None)
+def test_same_bins_as_looking_at_every_bin(sizes, lengths, share, bend):
+    cost = lambda n: n + bend * n * n + share
+    sizes = sorted(sizes, reverse=True)
+    at, offsets, final = packing.pack(sizes, lengths, cost)
+    assert (at, final) == plain_pack(sizes, lengths, cost)
+    filled = defaultdict(int)
+    for own, size, offset in zip(at, sizes, offsets):
+        assert offset == filled[own]
+        filled[own] += size
+
+
+def test_several_lengths_cost_less_than_one():
     rng = np.random.default_rng(0)
     sizes = sorted(rng.integers(1, 900, 3000).tolist(), reverse=True)
     _, _, final = packing.pack(sizes)
