@@ -17,9 +17,11 @@ escaped with a backslash, so the template's own marks occur nowhere else and `re
 turn exactly. The loss mask is a list of spans of code points: the (escaped) assistant texts.
 
 Cases: null texts and roles are empty; a parent that does not exist makes a root; messages on or
-below a circle of parents have no root and are left out; equal scores rank by message id; an
-empty table gives an empty result. A conversation is one row of the result, so it has to fit
-into one.
+below a circle of parents have no root and are left out, as are those without a tree or an id;
+rows that share tree and id are one message, with the smallest parent and its smallest score, the
+smallest role and its smallest text (null first); equal scores rank by message id; an empty table
+gives an empty result. Texts may be long, but a conversation is one row of the result, so it
+has to fit into one.
 """
 
 from __future__ import annotations
@@ -134,10 +136,14 @@ def _formatted(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def format_trees(messages: DataFrame, branches: int = 1) -> DataFrame:
     """(tree, rank, formatted, loss_spans) from (tree, node, parent, score, role, text).
 
-    `node` is unique in its tree.
+    Repeated rows are reduced by partial aggregation, ids and texts apart, before anything joins.
     """
-    nodes = durable(messages.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score")))
-    texts = messages.select("tree", "node", "role", "text")
+    def once(*columns) -> DataFrame:
+        own = messages.filter("tree is not null and node is not null").groupBy("tree", "node")
+        return own.agg(F.min(F.struct(*columns)).alias("_one")).select("tree", "node", "_one.*")
+
+    nodes = durable(once("parent", F.coalesce("score", F.lit(0.0)).alias("score")))
+    texts = once("role", "text")
     turns = F.sort_array(F.collect_list(F.struct((-F.col("above")).alias("at"), "role", "text")))
     whole = (paths(nodes, branches).join(texts, ["tree", "node"])
              .groupBy("tree", "rank", "leaf").agg(turns.alias("turns"))

@@ -53,6 +53,15 @@ def test_branches(spark):
     assert chat.format_trees(trees(spark, [])).collect() == []
 
 
+def test_repeated_rows_and_null_ids(spark):
+    rows = [(1, 1, None, 1.0, "user", "root"), (1, 2, 1, 0.5, "assistant", "a"), (1, 3, 1, 0.4, "assistant", "b")]
+    want = brute(rows, 2)
+    other = [(1, None, 1, 9.0, "user", "no id"), (None, 2, 1, 9.0, "user", "no tree"),
+             (1, 3, 1, 0.7, "assistant", "c"), (1, 3, 1, 0.4, "user", "b")]
+    got = chat.format_trees(trees(spark, rows * 50 + other), 2).collect()
+    assert {(r.tree, r["rank"]): r.formatted for r in got} == want and len(got) == len(want)
+
+
 def test_conversations(spark):
     rows = [(1, 0, "user", "a"), (1, 1, "assistant", None), (None, 0, "user", "n"), (2, None, None, "q"),
             (2, 0, "b", "tie"), (2, 0, "a", "tie"), (2, 0, "a", "tie"), (3, 5, "assistant", "x" * 100000)]
