@@ -20,7 +20,8 @@ execution may split.
 
 Cases: null and empty texts are one empty line; a document that repeats a key keeps all its
 copies if it is the first; rows sharing an id are one document (each is rewritten); a null id
-counts as one document after all others; an empty table gives an empty result.
+counts as one document after all others; a text of any length is read whole, its lines and the
+keys it loses in one task; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ join of documents to sources is one that adaptive execution may split.
 
 Cases: a null text or one without words has size 0, target of its source, taken 0; a source
 without words has target 0; a null source is a source; a null id is shuffled as an empty text;
-rows sharing an id are separate rows; an empty table gives an empty result.
+rows sharing an id are separate rows; a text of any length counts all its words; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations

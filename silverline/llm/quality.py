@@ -11,7 +11,8 @@ window sort their windows). Votes form at most 3^rules patterns, so an iteration
 bounded table of counts, which holds every document; only the new rates reach the driver.
 
 Cases: null and empty texts have no words, and all features 0; so does a text of white space;
-repeated rows repeat their result; a null id stays null; an empty table gives an empty result.
+repeated rows repeat their result; a null id stays null; a text of any length is read whole, in its
+own row; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ within the radius is ever missed, whatever the data.
 Only distinct fingerprints enter the tables, so copies of a text cost one row. A bucket yields
 a spanning forest of its links: never more edges than members. Empty documents have
 fingerprint zero and take part like any other. Rows with a null id get a fingerprint and link
-others too, but cannot name a component: one that has only such rows is null. Rows repeated with one id get one result each. An empty table gives an empty result.
+others too, but cannot name a component: one that has only such rows is null. Rows repeated with one id get one result each. A text of any length gives all its shingles,
+counted in one task. An empty table gives an empty result.
 """
 
 from __future__ import annotations
