@@ -1,5 +1,8 @@
 from pyspark.sql import functions as F
 
+import random
+
+from silverline.functions import nodes as nd
 from silverline.functions.nodes import raw_text, joined_text, select, tag, with_nodes
 from silverline.plans.dictionary import build_ingredient_dictionary
 from silverline.plans.entities import build_entities, page_records
@@ -56,6 +59,24 @@ def _pages(spark):
     return spark.createDataFrame(rows, "page_id long, url string, html string")
 
 
+MARKUP = """<div>|</div>|<p class="a  b">|</p>|text|a & b|&amp;|&lt|&#65;|&|<|>|<br>|<br/>|<script>|</script>|</ script>|</SCRIPT>|var t="</p>"
+<!--|-->|<!-- ad -->|<!DOCTYPE html>|<title>|</title>|<style>|</style>|<template>|</template>|<a href="/x?a=1" data-x>|</a>|<a href="/x&amp;y">
+<IMG SRC=x>|<textarea>|</textarea>|<x y=1>|</p >|<img alt="" alt="z" />|<li>|</li>|<p class="a>b">|<p class='q'>|é|</|<a|<noscript>
+</noscript>|<svg/>|<p a="1"b="2">|<script src="x"/>|{"a": "&amp;"}""".replace("\n", "|").split("|")
+
+
+def test_plain_markup_is_read_as_the_tokenizer_reads_it():
+    draw, known, plain = random.Random(7), {}, 0
+    for page in [PRODUCT, HIDDEN, "", *("".join(draw.choices(MARKUP, k=draw.randint(1, 8))) for _ in range(30_000))]:
+        quick = nd._flatten_plain(page, known)
+        if quick is not None:
+            parser = nd._Flattener()
+            parser.feed(page)
+            assert quick == parser.finish(), page
+            plain += 1
+    assert plain > 5_000 and nd._flatten_plain(PRODUCT, known)
+
+
 def test_product_record(spark):
     row = page_records(_pages(spark), BASE, "shop", min_body=1).filter("page_id = 1").first()
     want = {
