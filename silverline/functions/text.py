@@ -131,7 +131,7 @@ def _resolve(url: Column) -> Column:
     head = F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
     path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
     rest = F.regexp_extract(url, r"([?#].*)$", 1)
-    return F.when((head != "") & path.rlike(r"/\.{1,2}(/|$)"),
+    return F.when(url.contains("/.") & (head != "") & path.rlike(r"/\.{1,2}(/|$)"),
                   F.concat(head, let(path, _without_dots), rest)).otherwise(url)
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from silverline.functions.nodes import cls, first_text, tag, text_of, select, with_nodes
 from silverline.operators import joins, pages as pg
+from silverline.plans.discovery import discover_ingredients, discover_products
 from silverline.sources import readers as rd, writers as wr
 from silverline.sources.shared import fresh_path, shared_dir
 
@@ -20,6 +21,20 @@ def test_pages_are_not_shuffled(spark, table):
     assert "Exchange RoundRobinPartitioning(3)" in plan(with_nodes(table("pages"), partitions=3))
 
 
+def test_list_pages_are_parsed_once_for_all_tables(spark):
+    card = '<div class="card f-column"><p class="product-card__title"><a class="reversed-link" href="/p/{0}">I {0}</a></p></div>'
+    row = '<tr><td><a href="/ingredient-dictionary/ingredient-{0}.html"><h3>I {0}</h3></a></td></tr>'
+    for discover, item in ((discover_products, card), (lambda p, b: discover_ingredients(p, b, "x"), row)):
+        pages = spark.createDataFrame([(1, item.format(1) + item.format(2)), (2, item.format(2)), (3, None)],
+                                      "page long, html string")
+        found = discover(pages, "https://a.example.com")
+        assert sorted(found) == ["links", "log", "progress"]
+        assert not any("Python" in plan(found[name]) for name in found)
+        assert [tuple(r) for r in found["progress"].orderBy("page").collect()] == [(1, 2, 2, 2), (2, 1, 0, 2)]
+        assert [r.records_found for r in found["log"].orderBy("page").collect()] == [2, 1, 0]
+        assert sorted(r.page for r in found["links"].collect()) == [1, 1]
+
+
 def test_null_keys_skip_the_join(spark):
     fact = spark.range(200).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("k"), "id")
     dim = spark.range(0, 200, 4).withColumnRenamed("id", "k")
