@@ -5,7 +5,9 @@ over any set of batches. Aggregation is partial on the map side: a hot group shr
 shuffle. Null keys and values are counted but enter no sketch; an empty table gives no groups.
 
 Distinct keys are theta sketches of 2^`size` hashes: exact up to that many keys in a group, beyond
-it within about 1 / sqrt(2^size) of the count (0.8 % at 14) of the larger side for differences. Values
+it within about 1 / sqrt(2^size) of the count (0.8 % at 14) of the larger side for differences. With
+`slices` a group has one sketch for each share of the keys, by hash; `exact_slices` says how many keep
+each share in its sketch, so that counts summed over the slices are exact for groups of any size. Values
 are KLL sketches: exact up to about `k` values, beyond it ranks lie within about 2.3 / k^0.9 of the
 rows. Exact counts stay in `aggregates.distinct_keys` and `quality.missing_profile`.
 """
@@ -19,15 +21,28 @@ from pyspark.sql import Column, DataFrame, functions as F
 SIZE, K = 14, 4096
 
 
-def key_sketches(df: DataFrame, groups: list[str], key: str, size: int = SIZE) -> DataFrame:
-    """Per group: rows, rows without a key, and the sketch of its keys."""
+def exact_slices(df: DataFrame, groups: list[str], size: int = SIZE) -> int:
+    """Slices in which the sketches of these groups (the coarsest ones to merge to) lose no key.
+
+    A group has no more keys than rows, and a slice on average half of what a sketch holds. From size 10
+    up, a slice with more than twice the average is not to be expected in any table.
+    """
+    most = df.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0
+    return most // 2 ** (size - 1) + 1
+
+
+def key_sketches(df: DataFrame, groups: list[str], key: str, size: int = SIZE, slices: int | None = None) -> DataFrame:
+    """Per group: rows, rows without a key, and the sketch of its keys; with `slices` per group and `slice`."""
+    if slices:
+        df = df.withColumn("slice", F.pmod(F.xxhash64(key), F.lit(slices)))
+        groups = [*groups, "slice"]
     return df.groupBy(*groups).agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(key).isNull()).alias("n_null"),
         F.theta_sketch_agg(F.col(key), size).alias("keys"))
 
 
 def merge_key_sketches(sketches: DataFrame, groups: list[str], size: int = SIZE) -> DataFrame:
-    """The same rows for coarser groups, or for all batches with no groups."""
+    """The same rows for coarser groups, or for all batches with no groups; name `slice` to keep the slices."""
     return sketches.groupBy(*groups).agg(
         F.sum("n_rows").alias("n_rows"), F.sum("n_null").alias("n_null"),
         F.theta_union_agg(F.col("keys"), size).alias("keys"))

@@ -1,12 +1,19 @@
 """Mergeable summaries, filtered resume, keyword automata and roll-ups against plain definitions."""
 
 import random
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from silverline.functions import text as t
 from silverline.operators import aggregates as ag, joins, keywords, resume, sketches as sk
+from silverline.queries import ORACLES, QUERIES, summaries
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
+import check  # noqa: E402
+from given import DATA  # noqa: E402
 
 
 def _rows(df):
@@ -34,6 +41,26 @@ def test_keys_not_seen_before(spark):
     assert sk.key_sketches(df.limit(0), ["g"], "k").count() == 0
 
 
+def test_slices_count_more_keys_than_a_sketch_holds(spark):
+    rows = spark.range(90_000).select((F.col("id") % 6).alias("batch"), F.when(F.col("id") % 50 != 0, F.col("id") % 40_009).alias("k"))
+    slices = sk.exact_slices(rows, [], 10)
+    sliced = sk.merge_key_sketches(sk.key_sketches(rows, ["batch"], "k", 10, slices), ["slice"], 10)
+    got = sliced.agg(F.sum("n_rows"), F.sum("n_null"), F.sum(sk.n_keys("keys"))).first()
+    assert tuple(got) == (90_000, 1_800, ag.distinct_keys(rows, ["k"]).first().n_k)
+    assert sk.exact_slices(rows.limit(0), [], 10) == 1
+
+
+@pytest.mark.parametrize("name", ["distinct_keys_merged", "new_keys_by_year"])
+def test_queries_over_keys_are_exact_beyond_one_sketch(spark, tmp_path, monkeypatch, name):
+    con = check.connect(DATA)
+    con.execute(f"COPY (SELECT o.* REPLACE (o_custkey * 100 + i AS o_custkey) FROM orders o, range(100) r(i)) "
+                f"TO '{tmp_path}/orders.parquet'")
+    con.execute(f"CREATE OR REPLACE VIEW orders AS SELECT * FROM '{tmp_path}/orders.parquet'")
+    monkeypatch.setattr(summaries, "SIZE", 10)
+    note, ok = check.compare(spark, con, name, QUERIES[name], ORACLES[name], str(tmp_path))
+    assert ok, note
+
+
 # ---- Profiles ----
 
 def test_merged_profile_keeps_ranks(spark):
