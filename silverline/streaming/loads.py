@@ -33,6 +33,8 @@ from silverline.streaming.commits import commit, commits
 
 BUCKETS = 16
 ROWS_A_BUCKET = 1 << 20
+#: A bucket is a folder of its own, so beyond FOLDERS of them each has at least LEAST_ROWS, whatever is asked.
+FOLDERS, LEAST_ROWS = 256, 1 << 14
 _PLACE = StructType().add("run", "string").add("batch", "long").add("seq", "long").add("bucket", "integer")
 _BASE = (StructType().add("kind", "string").add("bucket", "integer").add("path", "string").add("run", "string")
          .add("batch", "long").add("seq", "long").add("buckets", "integer"))
@@ -64,6 +66,11 @@ def bucket_of(keys: list[str], buckets: int) -> Column:
     return F.when(wide < buckets, wide).otherwise(F.pmod(mark, F.lit(level))).cast("integer")
 
 
+def buckets_for(rows: int, rows_a_bucket: int) -> int:
+    """Buckets of about that many rows, as long as they are worth their folders."""
+    return min(-(-rows // rows_a_bucket), max(FOLDERS, -(-rows // LEAST_ROWS)))
+
+
 def split_buckets(buckets: int, more: int) -> set[int]:
     """The buckets whose rows may move when there are `more` of them."""
     found = set()
@@ -190,7 +197,7 @@ def compact(spark: SparkSession, target: str, schema: StructType, keys: list[str
             order: list[str], rows_a_bucket: int = ROWS_A_BUCKET) -> int:
     """Fold everything committed so far into the base; no stream may be writing meanwhile.
 
-    Returns the number of buckets. Rows keep their sequence number, so what arrives later compares
+    Returns the number of buckets, of about `rows_a_bucket` rows each (`buckets_for`). Rows keep their sequence number, so what arrives later compares
     with them as before. Folders that are not read any more stay until they are removed by hand.
     """
     version, buckets, folders, folded = _published(spark, target)
@@ -198,7 +205,7 @@ def compact(spark: SparkSession, target: str, schema: StructType, keys: list[str
     fresh = _live_rows(spark, target, schema, live)
     touched = {r[0]: r[1] for r in fresh.groupBy("bucket").count().collect()}  # one row a bucket
     count = sum(touched.values()) + _base_rows(spark, target, schema, list(folders.values())).count()
-    more = max(buckets, -(-count // rows_a_bucket))
+    more = max(buckets, buckets_for(count, rows_a_bucket))
     moved = set(touched) | split_buckets(buckets, more)
     held = _base_rows(spark, target, schema, [folders[b] for b in sorted(moved) if b in folders])
     base = uuid.uuid4().hex

@@ -191,6 +191,16 @@ def test_buckets_grow_one_by_one_and_only_split_ones_are_rewritten(spark):
     assert _values(spark, target) == {k: k for k in range(4000)} | {1: -1, 4001: -2}
 
 
+def test_folders_do_not_follow_the_rows_of_small_buckets(spark):
+    assert [loads.buckets_for(n, 8) for n in (0, 9, 2048, 90_000, 1 << 24)] == [0, 2, 256, 256, 1024]
+    assert loads.buckets_for(1 << 30, loads.ROWS_A_BUCKET) == 1024
+    target, = _paths(spark, "t")
+    every = spark.range(4000).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    loads.write_batch(every, target, "a", 0, ["k"])
+    assert loads.compact(spark, target, _schema(spark), ["k"], ["v"], rows_a_bucket=8) == 256
+    assert _values(spark, target) == {k: k for k in range(4000)}
+
+
 def test_linear_hashing_moves_rows_out_of_split_buckets_only(spark):
     keys = spark.range(5000).select(F.col("id").alias("k"))
     for n, more in ((16, 17), (16, 40), (20, 33), (31, 32), (32, 100)):
