@@ -96,13 +96,18 @@ def _strip_markup(text: Column) -> Column:
     return F.when(text.contains("<") | text.contains("&"), unescape_entities(bare)).otherwise(text)
 
 
+def collapse(c) -> Column:
+    """Runs of whitespace (nbsp included) as one space, none at the ends."""
+    return F.trim(F.regexp_replace(_col(c), f"[{WHITESPACE}]+", " "))
+
+
 def clean_text(c, strip_tags: bool = False) -> Column:
     """Collapse whitespace (nbsp included), strip, blank to null.
 
     With `strip_tags`, markup is dropped first and character references resolved.
     """
     c = let(_col(c), _strip_markup) if strip_tags else _col(c)
-    return blank_to_null(F.trim(F.regexp_replace(c, r"(?U)\s+", " ")))
+    return blank_to_null(collapse(c))
 
 
 def safe_lower(c) -> Column:

@@ -220,7 +220,8 @@ f AS (SELECT doc_id, i, word FROM c WHERE word IS NOT NULL
 SELECT doc_id, string_agg(word, '|' ORDER BY i) AS words FROM f GROUP BY doc_id""" % _WS)
 def _(d):
     words = F.array_join(ls.clean_list(F.split("text", " ")), "|")
-    return d.documents.select("doc_id", words.alias("words")).filter("words is not null")
+    # A filter is not pushed below the generator, so no list is cleaned twice.
+    return d.documents.select("doc_id", F.explode_outer(F.array(words)).alias("words")).filter("words is not null")
 
 
 @query("sorted_set", """

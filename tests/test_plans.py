@@ -6,9 +6,12 @@ from pyspark.sql import functions as F
 from silverline.functions.nodes import cls, first_text, tag, text_of, select, with_nodes
 from silverline.operators import joins, pages as pg
 from silverline.plans.discovery import discover_ingredients, discover_products
+from silverline.queries import QUERIES
 from silverline.sources import readers as rd, writers as wr
 from silverline.sources.shared import fresh_path, shared_dir
 
+from given import DATA
+
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
@@ -35,6 +38,11 @@ def test_list_pages_are_parsed_once_for_all_tables(spark):
         assert sorted(r.page for r in found["links"].collect()) == [1, 1]
 
 
+def test_lists_are_cleaned_once_and_equal_words_once(spark):
+    found = plan(QUERIES["clean_list"](spark, DATA))
+    assert found.count("array_distinct(") == found.count("split(") == found.count("regexp_replace(") == 1
+
+
 def test_null_keys_skip_the_join(spark):
     fact = spark.range(200).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("k"), "id")
     dim = spark.range(0, 200, 4).withColumnRenamed("id", "k")
