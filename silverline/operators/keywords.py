@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import ahocorasick
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from silverline.functions.text import blank_to_null, safe_lower
@@ -44,8 +44,8 @@ def tag_texts(df: DataFrame, column: str, rules: dict[str, list[str]], into: str
     always = owners.pop("", ())
     shared = df.sparkSession.sparkContext.broadcast(owners)
 
-    @F.pandas_udf("string")
-    def tags(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("string")
+    def tags(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         found = automaton(shared.value) if shared.value else None
 
         def names(text: str) -> str:
@@ -56,6 +56,6 @@ def tag_texts(df: DataFrame, column: str, rules: dict[str, list[str]], into: str
             return "|".join(sorted(hits))
 
         for texts in batches:
-            yield texts.map(names)
+            yield pa.array((names(text.as_py()) for text in texts), pa.string())  # one text at a time as an object
 
     return df.withColumn(into, blank_to_null(tags(safe_lower(column))))

@@ -20,6 +20,14 @@ def _rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
+def test_the_automaton_takes_one_text_at_a_time(spark):
+    texts = spark.createDataFrame([("ab c",), ("x",), (None,), ("",)], "v string")
+    found = keywords.tag_texts(texts, "v", {"one": ["b"], "two": ["c"]}, "tags")
+    assert "ArrowEvalPython" in found._jdf.queryExecution().executedPlan().toString()
+    assert not hasattr(keywords, "pd")  # no worker loads pandas or holds a batch as Python texts
+    assert [r.tags for r in found.collect()] == ["one|two", None, None, None]
+
+
 # ---- Distinct keys ----
 
 def test_merged_sketches_are_close_to_exact_counts(spark):
