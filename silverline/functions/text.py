@@ -17,6 +17,11 @@ WHITESPACE = (
     "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
+# The same as ranges, without the space, for a class that Java tests quickly.
+_OTHER = "\t-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# Runs of them other than one space: most texts hold none, and then nothing is replaced.
+UNEVEN = f"[{_OTHER}][ {_OTHER}]*| [ {_OTHER}]+"
+
 # What Windows-1252 has at the codes of the C1 controls, where it has something.
 WINDOWS = {str(i): bytes([i]).decode("cp1252") for i in range(0x80, 0xA0)
            if bytes([i]).decode("cp1252", "ignore")}
@@ -39,7 +44,9 @@ def let(value: Column, body) -> Column:
 
 
 def blank_to_null(c) -> Column:
-    return F.nullif(_col(c), F.lit(""))
+    """Null for the empty text. Spark repeats the argument of `nullif` inside a lambda, and such
+    repeats multiply where rules are nested, so an expression is bound first."""
+    return F.nullif(_col(c), F.lit("")) if isinstance(c, str) else let(c, lambda v: F.nullif(v, F.lit("")))
 
 
 def strip(c) -> Column:
@@ -98,7 +105,7 @@ def _strip_markup(text: Column) -> Column:
 
 def collapse(c) -> Column:
     """Runs of whitespace (nbsp included) as one space, none at the ends."""
-    return F.trim(F.regexp_replace(_col(c), f"[{WHITESPACE}]+", " "))
+    return F.trim(F.regexp_replace(_col(c), UNEVEN, " "))
 
 
 def clean_text(c, strip_tags: bool = False) -> Column:
@@ -144,7 +151,10 @@ def absolute_url(c, base: str, resolve: bool = False) -> Column:
     """`//x` gets a scheme, `/x` the base. `resolve` joins as a browser does, from a `base` with or
     without a path: `/x` goes below the host, plain relative paths below the base's last folder,
     and dot segments are folded."""
-    c = blank_to_null(strip(c))
+    return let(blank_to_null(strip(c)), lambda url: _absolute(url, base, resolve))
+
+
+def _absolute(c: Column, base: str, resolve: bool) -> Column:
     scheme = F.when(c.startswith("//"), F.concat(F.lit("https:"), c))
     if not resolve:
         return scheme.when(c.startswith("/"), F.concat(F.lit(base.rstrip("/")), c)).otherwise(c)
@@ -181,11 +191,11 @@ def slug(c, max_length: int = 120) -> Column:
 
 def parse_price(c) -> Column:
     """First run of digits and dots once thousands commas are gone."""
-    return F.regexp_substr(F.replace(_col(c), F.lit(","), F.lit("")), F.lit("[0-9.]+"))
+    return blank_to_null(F.regexp_extract(F.replace(_col(c), F.lit(","), F.lit("")), "[0-9.]+", 0))
 
 
 def first_int(c) -> Column:
-    return F.regexp_substr(_col(c), F.lit("[0-9]+")).try_cast("int")
+    return blank_to_null(F.regexp_extract(_col(c), "[0-9]+", 0)).try_cast("int")
 
 
 def comma_int(c) -> Column:
@@ -199,23 +209,24 @@ def ratio_of_5(c) -> Column:
 
 
 def first_number(c) -> Column:
-    return F.regexp_substr(_col(c), F.lit(r"[0-9]+(?:\.[0-9]+)?")).try_cast("double")
+    return blank_to_null(F.regexp_extract(_col(c), r"[0-9]+(?:\.[0-9]+)?", 0)).try_cast("double")
 
 
 def yes_no(c) -> Column:
     """1 when the text holds `yes`, else 0 when it holds `no` (so `unknown` is 0)."""
-    low = safe_lower(c)
-    return F.when(low.contains("yes"), 1).when(low.contains("no"), 0)
+    return let(safe_lower(c), lambda low: F.when(low.contains("yes"), 1).when(low.contains("no"), 0))
 
 
 def score_label(c, labels: dict[str, int] | None = None) -> Column:
     """Score of the first label, in rule order, that the text contains."""
-    low = safe_lower(c)
-    pairs = list((labels or fixed.SCORE_LABELS).items())
-    out = F.when(low.contains(pairs[0][0]), pairs[0][1])
-    for word, score in pairs[1:]:
-        out = out.when(low.contains(word), score)
-    return out
+    def scored(low: Column) -> Column:
+        pairs = list((labels or fixed.SCORE_LABELS).items())
+        out = F.when(low.contains(pairs[0][0]), pairs[0][1])
+        for word, score in pairs[1:]:
+            out = out.when(low.contains(word), score)
+        return out
+
+    return let(safe_lower(c), scored)
 
 
 def strip_label(c, label: str, prefix_only: bool = False) -> Column:

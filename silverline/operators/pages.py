@@ -159,9 +159,11 @@ def _texts(nodes: Column, found: Column, raw: bool = False) -> Column:
 
 def badges(nodes: Column) -> Column:
     """Sorted claims and nine always-0/1 flags."""
-    return let(_texts(nodes, select(nodes, cls("pp-badge"))), lambda b: F.struct(
-        ls.sorted_set(b).alias("product_claims"),
-        *t.claim_flags(F.array_join(b, " ")).values()))
+    def fields(e):
+        return F.struct(ls.sorted_set(e["texts"]).alias("product_claims"), *t.claim_flags(e["joined"]).values())
+
+    return let(_texts(nodes, select(nodes, cls("pp-badge"))), lambda b: let(F.struct(
+        b.alias("texts"), F.lower(F.array_join(b, " ")).alias("joined")), fields))
 
 
 def free_from(nodes: Column) -> Column:
@@ -266,7 +268,7 @@ def ratings(nodes: Column) -> Column:
     titled = t.first_int(first_text(nodes, (cls("pp-title"), cls("num")), raw=True)).cast("long")
     return F.struct(
         t.first_number(first_text(nodes, (cls("pp-verdict"), cls("score")), raw=True)).alias("rating"),
-        F.coalesce(F.nullif(total, F.lit(0)), titled).alias("number_of_reviews"))
+        F.coalesce(let(total, lambda x: F.nullif(x, F.lit(0))), titled).alias("number_of_reviews"))
 
 
 def origin(nodes: Column) -> Column:
@@ -340,7 +342,7 @@ def inci_list(nodes: Column) -> Column:
         text = F.regexp_replace(text, r"(?i)^\(?INCI\)?\s*:?\s*", "")
         parts = F.transform(F.split(text, ","), lambda raw, i: F.struct(
             (i + 1).alias("position"), F.btrim(raw, F.lit(" .")).alias("raw")))
-        return F.when(t.contains_any(label, ["full ingredient", "inci"]), parts)
+        return F.when(let(label, lambda x: t.contains_any(x, ["full ingredient", "inci"])), parts)
 
     found = _children(nodes, select(nodes, cls("pp-accordion")), pieces)
     return listed_ingredients(F.flatten(F.filter(found, lambda p: p.isNotNull())))

@@ -212,3 +212,22 @@ def test_lookups_keep_columns_called_like_their_own(spark):
     first = spark.createDataFrame([(1, None, "mine")], "k long, a string, _a string")
     second = spark.createDataFrame([(1, "theirs")], "k long, a string")
     assert tuple(jn.prefer(first, second, "k", ["a"]).first()) == (1, "theirs", "mine")
+
+
+def test_nested_rules_repeat_nothing(spark):
+    """Each expression is in the plan once, however rules are nested, and also inside lambdas."""
+    def repeats(rule):
+        texts = F.transform(F.split("id", ","), lambda x: rule(F.concat(x, F.lit("seen once"))))
+        plan = spark.range(1).select(F.col("id").cast("string").alias("id")).select(texts.alias("x"))
+        return plan._jdf.queryExecution().optimizedPlan().toString().count("seen once")
+
+    rules = [lambda x: t.blank_to_null(t.clean_text(t.clean_text(x))), lambda x: t.score_label(t.clean_text(x)),
+             lambda x: t.absolute_url(x, "https://a.example.com"), t.first_int, t.first_number, t.parse_price, t.yes_no]
+    assert [repeats(r) for r in rules] == [1] * len(rules)
+
+
+def test_whitespace_runs_become_one_space(spark):
+    texts = ["a b", " a  b ", "a\tb", "a 　b\n", "\xa0", "a  b \x85", "x​x", "a \tb\t c"]
+    df = spark.createDataFrame([(x,) for x in texts], "x string")
+    assert [r[0] for r in df.select(t.clean_text("x")).collect()] == [
+        "a b", "a b", "a b", "a b", None, "a b", "x​x", "a b c"]
