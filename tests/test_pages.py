@@ -2,6 +2,9 @@ from pyspark.sql import functions as F
 
 import random
 
+import pyarrow as pa
+import pytest
+
 from silverline.functions import nodes as nd
 from silverline.functions.nodes import raw_text, joined_text, select, tag, with_nodes
 from silverline.plans.dictionary import build_ingredient_dictionary
@@ -132,6 +135,29 @@ def test_text_modes_and_unclosed_tags(spark):
     assert df.select(F.size(select(n, tag("p"), tag("p")))).first()[0] == 1
 
 
+@pytest.mark.parametrize("step", [nd.html_nodes, nd.html_tree_nodes])
+def test_nodes_of_a_batch_are_never_held_together(step):
+    """Nodes take many times the room of their markup, so they leave a few pages at a time."""
+    dense, long = "<p>" + "<b>x</b>" * 2_000, "<i>" + "y" * 2 * nd.PART_BYTES
+    pages = [None, "", long, *["<b>z</b>"] * 200, *[dense] * 100, long, None]
+    whole = pa.array(pages, pa.string())
+    parts = list(step.func(iter([whole.slice(0, 5), whole.slice(5, 0), whole.slice(5)])))
+    assert max(p.nbytes for p in parts) < 16 * nd.PART_BYTES
+    assert max(len(p) for p in parts) <= nd.PART_PAGES
+    sizes = [None if n is None else len(n) for p in parts for n in p.to_pylist()]
+    assert sizes == [None, 0, 2, *[2] * 200, *[4_001] * 100, 2, None]
+
+
+def test_parts_keep_pages_and_their_order(spark):
+    pages = spark.range(0, 1_000, 1, 3).select("id", F.when(F.col("id") % 7 > 0, F.concat(
+        F.lit("<p>"), F.repeat(F.lit("x"), (F.col("id") % 5 * 20_000).cast("int")),
+        F.lit("<b>"), "id")).alias("html"))
+    read = with_nodes(pages).select("id", "html", F.element_at("nodes", -1)["text"].alias("last")).collect()
+    assert len(read) == 1_000 and all(r["last"] == (r["html"] and str(r["id"])) for r in read)
+    none = with_nodes(pages.filter("id < 0")).select(F.size("nodes")).collect()
+    assert none == []
+
+
 SOURCE = """<html><body><h1 id="product-title">Cream</h1><a class="override-pdp-brand">Acme</a>
 <div id="product-price">$38.00</div><div id="view-item-container" data-track-push="sku1"></div>
 <button data-tracking-push aria-controls="c1">Ingredients</button>
